@@ -25,32 +25,35 @@ VISIT_PIVOT = 1998
 
 # Tracts are a square grid of half-degree cells from (-100, 25); this is its width in cells.
 _WIDTH = "(SELECT CAST(ceil(sqrt(CAST(count(*) AS DOUBLE))) AS BIGINT) FROM supplier)"
+_SPREAD = f"({_WIDTH} * 5000 + 2500)"
 
 
-def _degrees(sign: str, base: int, step: str, expression: str) -> str:
-    """Text with four decimals inside (and a little beyond) the grid, written from integers."""
-    units = f"({base} {step} (({expression}) % ({_WIDTH} * 5000 + 2500)))"
+def _units(latitude: str, longitude: str) -> str:
+    """Coordinates inside (and a little beyond) the grid as whole ten-thousandths of a degree."""
     return (
-        f"{sign}CAST(CAST(floor({units} / 10000) AS BIGINT) AS STRING) || '.' || "
-        f"lpad(CAST({units} % 10000 AS STRING), 4, '0')"
+        f"250000 + ({latitude}) % {_SPREAD} AS lat_units, 1000000 - ({longitude}) % {_SPREAD} AS lon_units"
     )
 
 
-def _latitude(expression: str) -> str:
-    return _degrees("", 250000, "+", expression)
-
+def _degrees(units: str) -> str:
+    """The same as text with four decimals, so that both engines read the same number."""
+    return (
+        f"CAST(CAST(floor({units} / 10000) AS BIGINT) AS STRING) || '.' || "
+        f"lpad(CAST({units} % 10000 AS STRING), 4, '0')"
+    )
 
-def _longitude(expression: str) -> str:
-    return _degrees("'-' || ", 1000000, "-", expression)
 
+_LATITUDE, _LONGITUDE = _degrees("lat_units"), f"'-' || {_degrees('lon_units')}"
 
-_STREET = (
-    "CAST(100 + c_custkey % 900 AS STRING) || ' ' || c_mktsegment || ' ' || "
-    "CAST(1 + c_custkey % 17 AS STRING) || 'th St'"
-)
-_CITY = "'City ' || CAST(c_nationkey AS STRING)"
-_STATE = "substr('FLGACAALAKTX', 2 * (c_nationkey % 6) + 1, 2)"
-_ZIP = "lpad(CAST(c_custkey % 200 AS STRING), 5, '0')"
+# Customers with an address and a place.
+_HOMES = f"""(
+        SELECT customer.*, {_units("c_custkey * 3797", "c_custkey * 5303")},
+               CAST(100 + c_custkey % 900 AS STRING) || ' ' || c_mktsegment || ' ' ||
+               CAST(1 + c_custkey % 17 AS STRING) || 'th St' AS street,
+               'City ' || CAST(c_nationkey AS STRING) AS city,
+               substr('FLGACAALAKTX', 2 * (c_nationkey % 6) + 1, 2) AS state,
+               lpad(CAST(c_custkey % 200 AS STRING), 5, '0') AS zip
+        FROM customer) homes"""
 
 DERIVED = {
     "person": """
@@ -64,21 +67,17 @@ DERIVED = {
                     ELSE <DATE>CAST(o_orderdate AS DATE)<PLUS>CAST(o_orderkey % 15 AS INT)<END> END AS visit_end_date
         FROM orders""",
     "location": f"""
-        SELECT c_custkey AS location_id,
-               CASE WHEN c_custkey % 3 = 0 THEN 'N/A' ELSE {_STREET} END AS address_1,
-               CASE WHEN c_custkey % 4 = 0 THEN '#' || CAST(c_custkey % 20 AS STRING) END AS address_2,
-               {_CITY} AS city, {_STATE} AS state,
-               CASE WHEN c_custkey % 13 = 0 THEN NULL
-                    WHEN c_custkey % 6 = 0 THEN {_ZIP} || '.0' ELSE {_ZIP} END AS zip,
+        SELECT c_custkey AS location_id, CASE WHEN c_custkey % 3 = 0 THEN 'N/A' ELSE street END AS address_1,
+               CASE WHEN c_custkey % 4 = 0 THEN '#' || CAST(c_custkey % 20 AS STRING) END AS address_2, city, state,
+               CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 6 = 0 THEN zip || '.0' ELSE zip END AS zip,
                CAST(NULL AS STRING) AS county, c_name || ' ' AS location_source_value,
                CAST(NULL AS STRING) AS country_concept_id,
                'UNITED STATES OF AMERICA' AS country_source_value,
                CASE c_custkey % 11 WHEN 0 THEN '' WHEN 1 THEN 'NA' WHEN 2 THEN '0' WHEN 3 THEN ' nan '
-                    ELSE CASE WHEN c_custkey % 77 = 5 THEN '95.5' ELSE {_latitude("c_custkey * 3797")} END
-               END AS latitude,
+                    ELSE CASE WHEN c_custkey % 77 = 5 THEN '95.5' ELSE {_LATITUDE} END END AS latitude,
                CASE c_custkey % 11 WHEN 0 THEN '' WHEN 1 THEN 'NA' WHEN 2 THEN '0' WHEN 3 THEN NULL
-                    WHEN 4 THEN 'null' ELSE {_longitude("c_custkey * 5303")} END AS longitude
-        FROM customer
+                    WHEN 4 THEN 'null' ELSE {_LONGITUDE} END AS longitude
+        FROM {_HOMES}
         UNION ALL
         SELECT 1000000000 + s_suppkey, s_name, NULL, 'Nowhere', 'AK', '99501', NULL, NULL, NULL, NULL, NULL, NULL
         FROM supplier""",
@@ -95,41 +94,39 @@ DERIVED = {
                DATE '1997-06-01', DATE '1998-06-30'
         FROM customer WHERE c_custkey % 5 = 0""",
     "address_points": f"""
-        SELECT c_custkey AS point_id, {_STREET} AS street, {_CITY} AS city, {_STATE} AS state, {_ZIP} AS zip,
-               CAST({_latitude("c_custkey * 3797")} AS DOUBLE) AS latitude,
-               CAST({_longitude("c_custkey * 5303")} AS DOUBLE) AS longitude
-        FROM customer""",
+        SELECT c_custkey AS point_id, street, city, state, zip,
+               CAST({_LATITUDE} AS DOUBLE) AS latitude, CAST({_LONGITUDE} AS DOUBLE) AS longitude
+        FROM {_HOMES}""",
     # One address row per order: its customer's address, exact, in other writing, with a typo, with
     # another house number or cut short; some without ZIP, some without anything.
     "address_multi": f"""
         SELECT o_orderkey AS entity_id,
                CASE o_orderkey % 7
-                    WHEN 1 THEN upper({_STREET}) || '.'
-                    WHEN 2 THEN replace({_STREET}, 'E', '')
-                    WHEN 3 THEN '9' || {_STREET}
-                    WHEN 4 THEN substr({_STREET}, 1, 8)
+                    WHEN 1 THEN upper(street) || '.'
+                    WHEN 2 THEN replace(street, 'E', '')
+                    WHEN 3 THEN '9' || street
+                    WHEN 4 THEN substr(street, 1, 8)
                     WHEN 5 THEN CASE WHEN o_orderkey % 3 = 0 THEN 'n/a' END
-                    ELSE {_STREET} END AS street,
-               CASE WHEN o_orderkey % 35 = 5 THEN ' NULL ' ELSE {_CITY} END AS city,
-               CASE WHEN o_orderkey % 35 = 5 THEN NULL ELSE {_STATE} END AS state,
+                    ELSE street END AS street,
+               CASE WHEN o_orderkey % 35 = 5 THEN ' NULL ' ELSE city END AS city,
+               CASE WHEN o_orderkey % 35 = 5 THEN NULL ELSE state END AS state,
                CASE WHEN o_orderkey % 35 = 5 THEN 'none' WHEN o_orderkey % 4 = 0 THEN NULL
-                    WHEN o_orderkey % 6 = 1 THEN {_ZIP} || '.0' ELSE {_ZIP} END AS zip,
+                    WHEN o_orderkey % 6 = 1 THEN zip || '.0' ELSE zip END AS zip,
                CASE WHEN o_orderkey % 19 = 0 THEN 'abc' WHEN o_orderkey % 23 = 0 THEN NULL
                     WHEN o_orderkey % 29 = 0 THEN '2019.5'
                     ELSE CAST(2012 + o_orderkey % 12 AS STRING) || CASE WHEN o_orderkey % 2 = 0 THEN '.0' ELSE '' END
                END AS year
-        FROM orders JOIN customer ON o_custkey = c_custkey""",
+        FROM orders JOIN {_HOMES} ON o_custkey = c_custkey""",
     "hospitals": f"""
-        SELECT DISTINCT lower({_STREET} || ' ' || {_CITY} || ' ' || {_STATE} || ' ' || {_ZIP}) AS address
-        FROM customer WHERE c_acctbal > 9000""",
+        SELECT DISTINCT lower(street || ' ' || city || ' ' || state || ' ' || zip) AS address
+        FROM {_HOMES} WHERE c_acctbal > 9000""",
     # Two places per customer however many orders there are: mostly copies, as such files are.
     "coordinates": f"""
         SELECT o_orderkey AS entity_id, 2012 + o_orderkey % 12 AS year,
-               CASE WHEN o_orderkey % 41 = 0 THEN 'abc'
-                    ELSE {_latitude("(2 * o_custkey + o_orderkey % 2) * 7919")} END AS latitude,
-               CASE WHEN o_orderkey % 43 = 0 THEN '' ELSE {_longitude("(2 * o_custkey + o_orderkey % 2) * 104729")}
-               END AS longitude
-        FROM orders""",
+               CASE WHEN o_orderkey % 41 = 0 THEN 'abc' ELSE {_LATITUDE} END AS latitude,
+               CASE WHEN o_orderkey % 43 = 0 THEN '' ELSE {_LONGITUDE} END AS longitude
+        FROM (SELECT orders.*, {_units("(2 * o_custkey + o_orderkey % 2) * 7919", "(2 * o_custkey + o_orderkey % 2) * 104729")}
+              FROM orders) o""",
     "messy_zip": """
         SELECT o_orderkey AS row_id,
                CASE o_orderkey % 10
@@ -217,7 +214,7 @@ class Domain:
                 text = spark_text(name)
                 used = {t: self.base(t) for t in TABLES if f" {t}" in text}
                 for table in used:
-                    text = text.replace(f"FROM {table}", f"FROM {{{table}}}").replace(
+                    text = text.replace(f"FROM {table}", f"FROM {{{table}}} AS {table}").replace(
                         f"JOIN {table}", f"JOIN {{{table}}} AS {table}"
                     )
                 self._made[name] = self.spark.sql(text, **used)

@@ -11,7 +11,7 @@ from bindings import sql as q
 from bindings.domain import CUTOFF, VISIT_PIVOT, Domain
 from tractline.functions import status, text, values
 from tractline.operators import exposure, hospitals, locations, summaries, tracts, visits
-from tractline.operators.geocode import geocode
+from tractline.operators.geocode import address_text, geocode
 from tractline.plans import linkage
 from tractline.schemas import ADDRESS_PARTS, LOCATION_COLUMNS, LOCATION_HISTORY_COLUMNS
 from tractline.session import scratch_folder
@@ -415,7 +415,7 @@ _MATCHED = (
     ),
 )
 def _(d):
-    placed = geocode(d["address_multi"], d["address_points"])
+    placed = geocode(d["address_multi"], d["address_points"]).withColumn("address", address_text())
     return locations.in_row_order(
         placed.select("entity_id", "address", *ADDRESS_PARTS, "latitude", "longitude"), "entity_id"
     )

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from tractline.functions.text import compose_multi, compose_single, is_blank, match_form, null_to_blank, zip_before_dot
 from tractline.schemas import ADDRESS_PARTS, ADDRESS_POINTS, require
+from tractline.session import computed_once
 
 DEFAULT_THRESHOLD = 0.7
-_KEYS = ("_region", "_number", "_text", "_street")
 _ANSWER = (
     "latitude",
     "longitude",
@@ -54,15 +54,14 @@ def _city_region(city_state: Column) -> Column:
     return F.concat(F.lit("c:"), _last_words(city_state, 2))
 
 
-def query_keys(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Add the address text and the key columns that the match uses.
+def query_keys(asked: DataFrame, n_columns: int) -> DataFrame:
+    """Region, house number and comparison texts of raw addresses in columns ``_k0``, ``_k1``, ...
 
-    ``columns`` is (street, city, state, zip) or a single address column. ``_region`` is NULL when
-    the row has nothing to look up by.
+    Four columns are street, city, state and ZIP, one is a whole address. Addresses with nothing
+    to look up by are left out. Each step is named before it is used more than once.
     """
-    # Each step is named before it is used more than once, so it is computed once per row.
-    if len(columns) == 1:
-        staged = df.withColumn("_whole", match_form(compose_single(F.col(columns[0])))).withColumns(
+    if n_columns == 1:
+        staged = asked.withColumn("_whole", match_form(compose_single(F.col("_k0")))).withColumns(
             {
                 "_zip": F.regexp_extract("_whole", r" (\d{5})( \d{4})?$", 1),
                 "_text": F.regexp_replace("_whole", r" \d{5}( \d{4})?$", ""),
@@ -70,12 +69,10 @@ def query_keys(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
             }
         )
         city_state, has_city, numbered = F.col("_text"), F.lit(True), F.col("_text")
-        kept = list(df.columns)
     else:
-        street, city, state, zip_code = (F.col(c) for c in columns)
-        staged = df.withColumns(
+        street, city, state, zip_code = (F.col(f"_k{i}") for i in range(4))
+        staged = asked.withColumns(
             {
-                "address": compose_multi(street, city, state, zip_code),
                 "_street": _known(street),
                 "_city": _known(city),
                 "_state": _known(state),
@@ -85,16 +82,17 @@ def query_keys(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
         )
         city_state, numbered = F.concat_ws(" ", "_city", "_state"), F.col("_street")
         has_city = (F.col("_city") != "") & (F.col("_state") != "")
-        kept = [c for c in df.columns if c != "address"] + ["address"]
     region = F.when(F.col("_zip") != "", _zip_region(F.col("_zip"))).when(has_city, _city_region(city_state))
-    staged = staged.withColumns({"_region": region, "_number": _house_number(numbered)})
-    usable = F.col("_region").isNotNull() & (F.col("_number") != "")
-    return staged.select(
-        *kept,
-        F.when(usable, F.col("_region")).alias("_region"),
-        F.when(usable, F.col("_number")).alias("_number"),
-        "_text",
-        "_street",
+    keys = {
+        "_region": region,
+        "_number": _house_number(numbered),
+        "_text": F.col("_text"),
+        "_street": F.col("_street"),
+    }
+    return (
+        computed_once(staged, keys)
+        .where(F.col("_region").isNotNull() & (F.col("_number") != ""))
+        .select(*asked.columns, *keys)
     )
 
 
@@ -128,8 +126,7 @@ def _point_keys(points: DataFrame) -> DataFrame:
         )
     )
     return (
-        keyed.where(F.col("_number") != "")
-        .withColumn("_region", F.explode("_regions"))
+        keyed.withColumn("_region", F.explode(F.when(F.col("_number") != "", F.col("_regions"))))
         .groupBy("_region", "_number", "_p_street", "_p_tail")
         .agg(
             F.min(
@@ -155,20 +152,13 @@ def score_pairs(pairs: DataFrame, threshold: float) -> DataFrame:
     other = F.when((F.col("_street") != "") | tail_matches, F.col("_p_street")).otherwise(
         F.trim(F.concat("_p_street", "_p_tail"))
     )
+    sides = computed_once(pairs, {"_a": own, "_b": other})
     longest = F.greatest(F.length("_a"), F.length("_b"))
     budget = F.floor(longest * F.lit(1.0 - threshold) + F.lit(1e-9)).cast("int")
-    return (
-        pairs.withColumn("_a", own)
-        .withColumn("_b", other)
-        .withColumn("_budget", budget)
-        .where(F.abs(F.length("_a") - F.length("_b")) <= F.col("_budget"))
-        .withColumn(
-            "_edits", F.when(F.col("_a") == F.col("_b"), 0).otherwise(F.expr("levenshtein(_a, _b, _budget)"))
-        )
-        .where(F.col("_edits") >= 0)
-        .withColumn("score", F.lit(1.0) - F.col("_edits") / longest)
-        .where(F.col("score") >= threshold)
-    )
+    near = sides.withColumn("_budget", budget).where(F.abs(F.length("_a") - F.length("_b")) <= F.col("_budget"))
+    edits = F.when(F.col("_a") == F.col("_b"), 0).otherwise(F.expr("levenshtein(_a, _b, _budget)"))
+    scored = computed_once(near, {"_edits": edits}).where(F.col("_edits") >= 0)
+    return scored.withColumn("score", F.lit(1.0) - F.col("_edits") / longest).where(F.col("score") >= threshold)
 
 
 def geocode(
@@ -180,22 +170,30 @@ def geocode(
 ) -> DataFrame:
     """Add the best matching point's coordinates, address parts, score and precision to every row.
 
-    Each distinct address is looked up once: copies collapse before the join and the answers are
-    joined back, so one address shared by very many rows is one row of work. Of equal scores the
-    smallest point id wins. Rows where ``needed`` is false are left without a match.
+    ``columns`` is (street, city, state, zip) or one whole-address column. Each distinct address,
+    as written, is cleaned and looked up once: copies collapse on the map side before anything is
+    shuffled and the answers are joined back, so one address shared by very many rows is one row
+    of work. Of equal scores the smallest point id wins. Rows where ``needed`` is false get none.
     """
-    rows = query_keys(df, columns)
+    names = [f"_k{i}" for i in range(len(columns))]
+    given = [c for c in df.columns if c not in _ANSWER]
+    rows = df.select(*given, *[null_to_blank(F.col(c)).alias(k) for c, k in zip(columns, names)])
+    # Rows with nothing to look up match nothing; spreading them keeps them out of one partition.
+    asks = F.concat(*names) != ""
     if needed is not None:
-        rows = rows.withColumn("_region", F.when(needed, F.col("_region")))
-    wanted = rows.where("_region is not null and _number is not null").select(*_KEYS).distinct()
-    pairs = wanted.join(_point_keys(address_points), ["_region", "_number"])
+        asks = asks & F.coalesce(needed, F.lit(False))
+    spread = F.when(asks, 0).otherwise(1 + F.pmod(F.xxhash64(*given), F.lit(1024)).cast("int"))
+
+    pairs = query_keys(rows.where(asks).select(*names).distinct(), len(columns)).join(
+        _point_keys(address_points), ["_region", "_number"]
+    )
     rank = F.struct(F.col("score"), -F.col("_point.point_id"))
     best = (
         score_pairs(pairs, threshold)
-        .groupBy(*_KEYS)
+        .groupBy(*names)
         .agg(F.max_by(F.struct("_point", "score"), rank).alias("_best"))
         .select(
-            *_KEYS,
+            *names,
             F.lit(0).alias("_spread"),
             F.col("_best._point.latitude").alias("latitude"),
             F.col("_best._point.longitude").alias("longitude"),
@@ -204,12 +202,11 @@ def geocode(
             F.when(F.col("_best.score") == 1.0, "exact").otherwise("close").alias("precision"),
         )
     )
-    # Rows with nothing to look up match nothing; spreading them keeps them out of one partition.
-    given = [c for c in rows.columns if c not in _ANSWER]
-    spread = F.when(F.col("_region").isNull(), F.pmod(F.xxhash64(*given), F.lit(1024))).otherwise(0)
-    return (
-        rows.select(*given)
-        .withColumn("_spread", spread.cast("int"))
-        .join(best, [*_KEYS, "_spread"], "left")
-        .select(*[c for c in given if c not in _KEYS], *_ANSWER)
-    )
+    return rows.withColumn("_spread", spread).join(best, [*names, "_spread"], "left").select(*given, *_ANSWER)
+
+
+def address_text(columns: tuple[str, ...] = ADDRESS_PARTS) -> Column:
+    """The composed address of a row, as it is handed to a geocoder."""
+    if len(columns) == 1:
+        return compose_single(F.col(columns[0]))
+    return compose_multi(*[F.col(c) for c in columns])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tractline.functions.values import format_fips, in_range, number_in
 from tractline.schemas import TRACTS, require
+from tractline.session import computed_once
 
 # A cell is 2**-level degrees wide. A power of two makes "which cell" and "where does the cell
 # start" exact in floating point, so no point near a cell border can look in the wrong cell.
@@ -176,13 +177,16 @@ def assign_tracts(
     collapses before the join, and the answers are joined back.
     """
     index = tracts if isinstance(tracts, TractIndex) else build_tract_index(tracts)
-    lat, lon = number_in(df, latitude), number_in(df, longitude)
-    usable = in_range(lat, lon)
-    rows = (
-        df.withColumn("_x", F.when(usable, lon))
-        .withColumn("_y", F.when(usable, lat))
-        .withColumn("_v", F.when(usable, F.col(vintage)))
-    )
+    usable = in_range(F.col("_lat"), F.col("_lon"))
+    parsed = df.withColumns({"_lat": number_in(df, latitude), "_lon": number_in(df, longitude)})
+    rows = computed_once(
+        parsed,
+        {
+            "_x": F.when(usable, F.col("_lon")),
+            "_y": F.when(usable, F.col("_lat")),
+            "_v": F.when(usable, F.col(vintage).cast("int")),
+        },
+    ).drop("_lat", "_lon")
     found = _by_broadcast(rows, index) if index.broadcastable else _by_shuffle(rows, index)
     return found.drop("_x", "_y", "_v")
 

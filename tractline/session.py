@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Adaptive execution does the run-time work every plan here relies on: it splits skewed join
@@ -54,3 +54,14 @@ def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add costly columns that later filters and joins use, without their being computed again.
+
+    A filter on a plain computed column is pushed below it, which repeats the expression in the
+    filter. Filters on a generator's output stay above it, so a one-element ``inline`` holds the
+    values in place and costs one small struct per row.
+    """
+    held = F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+    return df.select(*[c for c in df.columns if c not in columns], held)
