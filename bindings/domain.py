@@ -19,6 +19,9 @@ TABLES = (
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+# The tables that grow fastest with the scale factor.
+SPREAD = ("orders", "lineitem", "documents")
+
 # The orders span 1995 to 2001, so the cutoff and the vintage pivot of visits move with them.
 CUTOFF = "1996-01-01"
 VISIT_PIVOT = 1998
@@ -204,7 +207,12 @@ class Domain:
         self._made: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A test table. The larger ones are single files of one row group, which Spark cannot
+        split; they are spread over the cores. A table of many files is read as it is."""
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name in SPREAD and df.rdd.getNumPartitions() == 1:
+            return df.repartition(self.spark.sparkContext.defaultParallelism)
+        return df
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:

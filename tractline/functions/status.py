@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tractline.functions.text import is_blank, null_to_blank, strip, zip_compare_form
-from tractline.functions.values import has_coordinates
+from tractline.functions.values import has_coordinates, in_range
 
 # Result and reason texts that reports group by.
 GEOCODED = "Geocoded"
@@ -17,8 +17,10 @@ ZIP_MISSING = "Zip missing"
 STREET_MISSING = "Street missing"
 
 
-def geocode_result(latitude: Column, longitude: Column) -> Column:
-    return F.when(has_coordinates(latitude, longitude), GEOCODED).otherwise(IMPRECISE)
+def geocode_result(latitude: Column, longitude: Column, numeric: bool = False) -> Column:
+    """``numeric`` says that the coordinates are numbers already and need no parsing."""
+    usable = in_range(latitude, longitude) if numeric else has_coordinates(latitude, longitude)
+    return F.when(usable, GEOCODED).otherwise(IMPRECISE)
 
 
 def hospital_form_multi(street: Column, city: Column, state: Column, zip_code: Column) -> Column:

@@ -10,13 +10,12 @@ from tractline.functions.text import strip
 from tractline.schemas import VINTAGES
 
 # A cast alone would also take Java's "36.5d" and hexadecimal forms.
-_DECIMAL_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_DECIMAL_NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 
 
 def parse_number(c: Column) -> Column:
     """Text to double; NULL for anything that is not a plain decimal number. Never raises."""
-    text = strip(c.cast("string"))
-    return F.when(text.rlike(_DECIMAL_NUMBER), text.try_cast("double"))
+    return F.regexp_extract(strip(c.cast("string")), _DECIMAL_NUMBER, 0).try_cast("double")
 
 
 def number_in(df: DataFrame, name: str) -> Column:
@@ -49,7 +48,14 @@ def has_coordinates(latitude: Column, longitude: Column) -> Column:
 def year_of(c: Column) -> Column:
     """A year as int; NULL when it does not parse or is not whole."""
     number = parse_number(c)
-    return F.when(number == F.floor(number), number.try_cast("int"))
+    return F.when(number % 1 == 0, number.try_cast("int"))
+
+
+def year_in(df: DataFrame, name: str) -> Column:
+    """Column ``name`` of ``df`` as a year, parsing it only when it is not stored as an integer."""
+    if isinstance(df.schema[name].dataType, T.IntegralType):
+        return F.col(name).try_cast("int")
+    return year_of(F.col(name))
 
 
 def vintage_of(year: Column, pivot: int = 2020) -> Column:

@@ -19,9 +19,9 @@ from tractline.session import computed_once
 
 # A cell is 2**-level degrees wide. A power of two makes "which cell" and "where does the cell
 # start" exact in floating point, so no point near a cell border can look in the wrong cell.
-MIN_LEVEL, MAX_LEVEL = 0, 12
-CELLS_ACROSS_A_POLYGON = 8
-# Measured limit below which the cell table is sent to every executor.
+LEVELS = range(0, 13)
+MAX_CELLS_ACROSS = 16
+# Limit on the bound of the cell table's size, below which it is sent to every executor.
 BROADCAST_BYTES = 256 * 1024 * 1024
 _BYTES_PER_CELL, _BYTES_PER_EDGE = 160, 48
 
@@ -57,16 +57,6 @@ def inside_ring(ring: Column, x: Column, y: Column) -> Column:
     return F.aggregate(ring, F.lit(0), lambda n, e: n + crosses(e)) % 2 == 1
 
 
-def choose_level(tracts: DataFrame) -> int:
-    """Cell level that puts about :data:`CELLS_ACROSS_A_POLYGON` cells across a mean polygon."""
-    boxes = tracts.select(_bounds(F.col("ring")).alias("b"))
-    width, height = boxes.agg(F.avg(F.col("b.x1") - F.col("b.x0")), F.avg(F.col("b.y1") - F.col("b.y0"))).first()
-    extent = math.sqrt((width or 0.0) * (height or 0.0))
-    if extent <= 0.0:
-        return MIN_LEVEL
-    return min(MAX_LEVEL, max(MIN_LEVEL, round(math.log2(CELLS_ACROSS_A_POLYGON / extent))))
-
-
 def _bounds(ring: Column) -> Column:
     low = lambda a, b: F.array_min(F.transform(ring, lambda e: F.least(e[a], e[b])))
     high = lambda a, b: F.array_max(F.transform(ring, lambda e: F.greatest(e[a], e[b])))
@@ -96,7 +86,6 @@ def tract_cells(tracts: DataFrame, level: int) -> DataFrame:
     margin = size / 1024
     strips = (
         tracts.select(*TRACTS.names)
-        .where(F.size("ring") > 0)
         .withColumn("_b", _bounds(F.col("ring")))
         .withColumn("cell_y", F.explode(F.sequence(_cell(F.col("_b.y0"), level), _cell(F.col("_b.y1"), level))))
         .withColumn("_bottom", F.col("cell_y") * size)
@@ -110,23 +99,20 @@ def tract_cells(tracts: DataFrame, level: int) -> DataFrame:
         )
         .repartition("tract_id", "vintage", "cell_y")
     )
-    cells = (
-        strips.withColumn(
-            "cell_x", F.explode(F.sequence(_cell(F.col("_b.x0"), level), _cell(F.col("_b.x1"), level)))
-        )
-        .withColumn("_left", F.col("cell_x") * size)
-        .withColumn(
-            "ring", F.filter("ring", lambda e: F.greatest(e["x1"], e["x2"]) >= F.col("_left") - margin)
-        )
-        .withColumn(
-            "_near", F.exists("ring", lambda e: F.least(e["x1"], e["x2"]) <= F.col("_left") + size + margin)
-        )
-        .withColumn(
-            "_centre_in",
-            inside_ring(F.col("ring"), F.col("_left") + size / 2, F.col("_bottom") + size / 2),
-        )
-        .where(F.col("_near") | F.col("_centre_in"))
+    left = F.col("cell_x") * size
+    cells = strips.withColumn(
+        "cell_x", F.explode(F.sequence(_cell(F.col("_b.x0"), level), _cell(F.col("_b.x1"), level)))
+    )
+    cells = computed_once(
+        cells, {"ring": F.filter("ring", lambda e: F.greatest(e["x1"], e["x2"]) >= left - margin)}
     )
+    cells = computed_once(
+        cells,
+        {
+            "_near": F.exists("ring", lambda e: F.least(e["x1"], e["x2"]) <= left + size + margin),
+            "_centre_in": inside_ring(F.col("ring"), left + size / 2, F.col("_bottom") + size / 2),
+        },
+    ).where(F.col("_near") | F.col("_centre_in"))
     return cells.select(
         "vintage",
         "cell_x",
@@ -140,10 +126,10 @@ def tract_cells(tracts: DataFrame, level: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class TractIndex:
-    """A cell table with its level and its measured size. Build once, use for many inputs.
+    """A cell table with its level. Build once, use for many inputs.
 
-    ``cells`` can be written to a table and read back; ``broadcastable`` is the result of measuring
-    it, never an estimate.
+    ``cells`` can be written to a table and read back. ``broadcastable`` comes from an upper bound
+    of the table's size that was computed from the polygons, not from an estimate.
     """
 
     cells: DataFrame
@@ -154,12 +140,40 @@ class TractIndex:
 def build_tract_index(
     tracts: DataFrame, level: int | None = None, broadcast_bytes: int = BROADCAST_BYTES
 ) -> TractIndex:
+    """Choose the cell level from the polygons' mean shape and bound the cell table's size.
+
+    A mean polygon gets about as many cells across as the square root of its number of edges, so
+    simple shapes make few cells and detailed ones leave few edges in each.
+    """
+    require(tracts.columns, TRACTS.names, "tracts")
+    polygons = tracts.select("ring", _bounds(F.col("ring")).alias("b"))
     if level is None:
-        level = choose_level(tracts)
-    cells = tract_cells(tracts, level)
-    rows, edges = cells.agg(F.count(F.lit(1)), F.sum(F.coalesce(F.size("ring"), F.lit(0)))).first()
-    measured = rows * _BYTES_PER_CELL + (edges or 0) * _BYTES_PER_EDGE
-    return TractIndex(cells, level, measured <= broadcast_bytes)
+        width, height, edges = polygons.agg(
+            F.avg(F.col("b.x1") - F.col("b.x0")), F.avg(F.col("b.y1") - F.col("b.y0")), F.avg(F.size("ring"))
+        ).first()
+        extent = math.sqrt((width or 0.0) * (height or 0.0))
+        across = min(MAX_CELLS_ACROSS, math.sqrt(edges or 1.0))
+        wanted = round(math.log2(across / extent)) if extent > 0.0 else LEVELS[0]
+        level = min(LEVELS[-1], max(LEVELS[0], wanted))
+    (bound,) = polygons.agg(F.sum(_size_bound(level))).first()
+    return TractIndex(tract_cells(tracts, level), level, (bound or 0.0) <= broadcast_bytes)
+
+
+def _size_bound(level: int) -> Column:
+    """Bytes a polygon's cells can take at most: every edge in every cell of the strips it touches."""
+    scale = float(2**level)
+
+    def spans(low: Column, high: Column) -> Column:
+        return F.floor(high * scale) - F.floor(low * scale) + 1
+
+    across = spans(F.col("b.x0"), F.col("b.x1"))
+    strips = F.aggregate(
+        "ring",
+        F.lit(0).cast("bigint"),
+        lambda n, e: n + spans(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])) + 1,
+    )
+    cells = across * spans(F.col("b.y0"), F.col("b.y1"))
+    return (cells * _BYTES_PER_CELL + strips * across * _BYTES_PER_EDGE).cast("double")
 
 
 def assign_tracts(

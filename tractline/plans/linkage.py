@@ -12,7 +12,7 @@ from tractline.functions.values import (
     long_coordinate_names,
     number_in,
     vintage_of,
-    year_of,
+    year_in,
 )
 from tractline.operators.geocode import DEFAULT_THRESHOLD, geocode
 from tractline.operators.hospitals import flag_hospitals
@@ -28,12 +28,12 @@ LOCATION_PARTS = ("address_1", "city", "state", "zip")
 
 def _with_vintage(df: DataFrame, pivot: int) -> DataFrame:
     """``year_for_fips`` from the year; rows without a year column count as the newer vintage."""
-    year = year_of(F.col("year")) if "year" in df.columns else F.lit(None).cast("int")
+    year = year_in(df, "year") if "year" in df.columns else F.lit(None).cast("int")
     return df.withColumn("year_for_fips", vintage_of(year, pivot))
 
 
 def _with_tracts(df: DataFrame, tracts: DataFrame | TractIndex) -> DataFrame:
-    return with_fips(assign_tracts(supported_vintages(df), tracts)).drop("year_for_fips")
+    return with_fips(assign_tracts(df, tracts)).drop("year_for_fips")
 
 
 def link_coordinates(df: DataFrame, tracts: DataFrame | TractIndex, pivot: int = 2020) -> DataFrame:
@@ -45,7 +45,7 @@ def link_coordinates(df: DataFrame, tracts: DataFrame | TractIndex, pivot: int =
     df = long_coordinate_names(df)
     require(df.columns, ("latitude", "longitude"), "coordinates")
     if "year_for_fips" in df.columns:
-        df = df.withColumn("year_for_fips", year_of(F.col("year_for_fips")))
+        df = supported_vintages(df.withColumn("year_for_fips", year_in(df, "year_for_fips")))
     elif "year" in df.columns:
         df = _with_vintage(df, pivot)
     else:
@@ -67,9 +67,9 @@ def geocode_addresses(
     if not single:
         df = df.withColumn("zip", zip_strip_suffix(F.col("zip")))
     if "year" in df.columns:
-        df = df.withColumn("year", year_of(F.col("year")))
+        df = df.withColumn("year", year_in(df, "year"))
     placed = geocode(df, address_points, columns, threshold)
-    result = geocode_result(F.col("latitude"), F.col("longitude"))
+    result = geocode_result(F.col("latitude"), F.col("longitude"), numeric=True)
     if single:
         form, parts = hospital_form_single(compose_single(F.col("address"))), ()
     else:
@@ -148,7 +148,7 @@ def link_locations(
     parts = [F.col(c) for c in LOCATION_PARTS]
     placed = (
         flag_hospitals(placed, hospital_form_multi(*parts), hospitals, "_at_hospital")
-        .withColumn("geocode_result", geocode_result(F.col("latitude"), F.col("longitude")))
+        .withColumn("geocode_result", geocode_result(F.col("latitude"), F.col("longitude"), numeric=True))
         .withColumn("reason", reason(F.col("geocode_result"), F.col("_at_hospital"), *parts))
     )
     index = tracts if isinstance(tracts, TractIndex) else build_tract_index(tracts)

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Recording the Python call site of every column expression makes large plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
