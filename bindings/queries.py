@@ -871,7 +871,7 @@ def _(d):
         )
         + " FROM location l LEFT JOIN best b ON l.location_id = b.rid",
         f"""asked_rows AS (
-            SELECT location_id AS rid, {q.punct(q.title("coalesce(address_1, '') || ' ' || coalesce(address_2, '') || ' ' || coalesce(city, '') || ' ' || coalesce(state, '') || ' ' || coalesce(zip, '')"))} AS address
+            SELECT location_id AS rid, {q.punct(q.title("coalesce(address_1, '') || ' ' || coalesce(address_2, '') || ' ' || coalesce(city, '') || ' ' || coalesce(state, '') || ' ' || " + q.zip_suffix('zip')))} AS address
             FROM location WHERE NOT {q.has_coordinates('latitude', 'longitude')})""",
         q.match_single("asked_rows"),
     ),

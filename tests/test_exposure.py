@@ -1,0 +1,126 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tractline.operators import exposure as X
+
+VALUES = "variable_id int, geocode string, year int, value double"
+
+
+@pytest.fixture
+def values(spark):
+    rows = [
+        (134, "01001020100", 2010, 1.0), (134, "01001020100", 2013, 3.0), (134, "01001020100", 2013, 2.0),
+        (135, "01001020100", 2012, 9.0), (999, "01001020100", 2012, 7.0), (135, "12031000101", 2012, None),
+    ]
+    return spark.createDataFrame(rows, VALUES)
+
+
+@pytest.fixture
+def rows(spark):
+    data = [(i, "01001020100", y) for i, y in enumerate((2009, 2010, 2012, 2013, 2050))]
+    data += [(10, "12031000101", 2012), (11, None, 2012), (12, "01001020100", None)]
+    return spark.createDataFrame(data, "id int, FIPS string, year int")
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_exact_year(rows, values, broadcast_rows):
+    got = X.join_by_geocode(rows, values, {134: "adi", 135: "svi"}, broadcast_rows=broadcast_rows)
+    assert got.columns == ["id", "FIPS", "year", "adi", "svi"]
+    found = {r.id: (r.adi, r.svi) for r in got.collect()}
+    none = (None, None)
+    assert found == {
+        0: none, 1: (1.0, None), 2: (None, 9.0), 3: (3.0, None), 4: none, 10: none, 11: none, 12: none,
+    }
+
+
+@pytest.mark.parametrize("last_year", [2013, 2020, None])
+def test_latest_year_not_after(rows, values, last_year):
+    got = X.join_by_geocode(rows, values, {134: "adi", 135: "svi"}, year_rule="latest", last_year=last_year)
+    found = {r.id: (r.adi, r.svi) for r in got.collect() if r.id < 10}
+    assert found == {0: (None, None), 1: (1.0, None), 2: (1.0, 9.0), 3: (3.0, 9.0), 4: (3.0, 9.0)}
+    with pytest.raises(ValueError):
+        X.join_by_geocode(rows, values, {134: "adi"}, year_rule="nearest")
+
+
+def test_one_place_with_most_rows_keeps_every_row(spark, values):
+    many = spark.range(5000).select(
+        F.when(F.col("id") % 3 < 2, "01001020100").otherwise(F.col("id").cast("string")).alias("FIPS"),
+        F.lit(2010).alias("year"),
+    )
+    got = X.join_by_geocode(many, values, {134: "adi"}, broadcast_rows=0)
+    assert got.count() == 5000 and got.where("adi = 1").count() == many.where("FIPS = '01001020100'").count()
+
+
+def test_select_variables(spark, values):
+    index = spark.createDataFrame([(134, 1234), (135, 5150)], "variable_id int, source_id int")
+    assert {r.variable_id for r in X.select_variables(values, index, [134, 135], [5150]).collect()} == {135}
+    assert {r.variable_id for r in X.select_variables(values, variable_ids=[134, 999]).collect()} == {134, 999}
+    assert X.select_variables(values).count() == values.count()
+    with pytest.raises(ValueError):
+        X.select_variables(values, source_ids=[1])
+
+
+def test_roll_up(spark, rows):
+    crosswalk = spark.createDataFrame(
+        [("01001020100", "36003", 0.4), ("01001020100", "36001", 0.6), ("01001020100", "36000", 0.6)],
+        "FIPS string, zcta string, weight double",
+    )
+
+    def first(level):
+        return X.roll_up(rows, level, crosswalk=crosswalk).where("id = 1").first().geocode
+
+    assert [first(level) for level in X.LEVELS] == ["01001020100", "01001", "01", "36000"]
+    assert X.roll_up(rows, "zcta", crosswalk=crosswalk).count() == rows.count()
+    for level, options in (("block", {}), ("zcta", {})):
+        with pytest.raises(ValueError):
+            X.roll_up(rows, level, **options)
+
+
+def test_output_check(spark):
+    df = spark.createDataFrame(
+        [
+            (1, 30.0, -80.0, "01001020100", 1.0),
+            (None, 91.0, -80.0, "1001020100", None),
+            (3, None, -80.0, None, 2.0),
+            (4, 30.0, float("nan"), "0100102010x", 2.0),
+        ],
+        "person_id int, latitude double, longitude double, FIPS string, adi double",
+    )
+    assert X.check_output(df, ["adi"]).first().asDict() == {
+        "n_rows": 4, "missing_person": 1, "bad_coordinates": 3, "bad_fips": 3, "missing_adi": 1,
+    }
+    assert X.check_output(df, ["adi"], source="FIPS").count() == 4
+
+
+def test_date_shift_keeps_gaps_and_hides_the_secret(spark):
+    start = dt.date(2015, 3, 1)
+    rows = [(p, start + dt.timedelta(7 * k), dt.datetime(2015, 3, 1, 12, k)) for p in range(200) for k in range(3)]
+    df = spark.createDataFrame(rows, "person_id int, day date, at timestamp")
+    moved = X.shift_dates(df, "person_id", ["day", "at"], "s3cret-key", max_days=30)
+    got = {}
+    for r in moved.collect():
+        got.setdefault(r.person_id, []).append((r.day, r["at"]))
+    shifts = {}
+    for p, pairs in got.items():
+        pairs.sort()
+        assert [b[0] - a[0] for a, b in zip(pairs, pairs[1:])] == [dt.timedelta(7)] * 2
+        offset = (pairs[0][0] - start).days
+        assert 1 <= abs(offset) <= 30 and (pairs[0][1].date() - start).days == offset
+        shifts[p] = offset
+    assert len(set(shifts.values())) > 30 and min(shifts.values()) < 0 < max(shifts.values())
+    other = X.shift_dates(df, "person_id", ["day"], "another", max_days=30).groupBy("person_id").agg(F.min("day").alias("d"))
+    assert {r.person_id: (r.d - start).days for r in other.collect()} != shifts
+    assert "s3cret-key" not in moved._jdf.queryExecution().toString()
+    for bad in ({"secret": ""}, {"secret": "x", "max_days": 0}):
+        with pytest.raises(ValueError):
+            X.shift_dates(df, "person_id", ["day"], **bad)
+
+
+def test_catalog(spark, values):
+    source = spark.createDataFrame([(1,)], "source_id int")
+    index = spark.createDataFrame([(134, 1), (135, 2)], "variable_id int, source_id int")
+    got = {tuple(r) for r in X.check_catalog(source, index, values).collect()}
+    assert got == {("variable_index", 2, 1), ("variable_value", 999, 1)}
+    assert {r.variable_id for r in X.checked_values(source, index, values).collect()} == {134}

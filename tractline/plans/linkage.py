@@ -103,10 +103,12 @@ def refresh_location(
     The looked-up address is all of address_1, address_2, city, state and ZIP.
     """
     require(location.columns, LOCATION_COLUMNS, "LOCATION")
+    parts = [F.col(c) for c in ("address_1", "address_2", "city", "state")]
+    address = compose_location(*parts, zip_strip_suffix(F.col("zip")))
     rows = (
         trim_text(location)
         .withColumn("_needed", needs_geocoding())
-        .withColumn("address", compose_location(*[F.col(c) for c in ("address_1", "address_2", "city", "state", "zip")]))
+        .withColumn("address", address)
         .withColumnsRenamed({"latitude": "given_latitude", "longitude": "given_longitude"})
     )
     placed = geocode(rows, address_points, ("address",), threshold, F.col("_needed"))
