@@ -660,7 +660,7 @@ def _(d):
 )
 def _(d):
     return exposure.join_by_geocode(
-        _places(d), d["variable_value"], VARIABLES, year_rule="latest", last_year=2005, broadcast_rows=0
+        _places(d), d["variable_value"], VARIABLES, year_rule="latest", last_year=2005, broadcast_bytes=0
     )
 
 

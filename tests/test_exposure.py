@@ -24,9 +24,9 @@ def rows(spark):
     return spark.createDataFrame(data, "id int, FIPS string, year int")
 
 
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_exact_year(rows, values, broadcast_rows):
-    got = X.join_by_geocode(rows, values, {134: "adi", 135: "svi"}, broadcast_rows=broadcast_rows)
+@pytest.mark.parametrize("broadcast_bytes", [0, 10_000])
+def test_exact_year(rows, values, broadcast_bytes):
+    got = X.join_by_geocode(rows, values, {134: "adi", 135: "svi"}, broadcast_bytes=broadcast_bytes)
     assert got.columns == ["id", "FIPS", "year", "adi", "svi"]
     found = {r.id: (r.adi, r.svi) for r in got.collect()}
     none = (None, None)
@@ -49,7 +49,7 @@ def test_one_place_with_most_rows_keeps_every_row(spark, values):
         F.when(F.col("id") % 3 < 2, "01001020100").otherwise(F.col("id").cast("string")).alias("FIPS"),
         F.lit(2010).alias("year"),
     )
-    got = X.join_by_geocode(many, values, {134: "adi"}, broadcast_rows=0)
+    got = X.join_by_geocode(many, values, {134: "adi"}, broadcast_bytes=0)
     assert got.count() == 5000 and got.where("adi = 1").count() == many.where("FIPS = '01001020100'").count()
 
 

@@ -163,6 +163,11 @@ def test_database_source_refuses_secrets_in_the_url(spark):
 
 def test_scratch_and_broadcast_limits(spark):
     assert scratch_folder(spark, "a").startswith(spark.conf.get("spark.checkpoint.dir"))
-    df = spark.range(10)
-    assert "hint" in broadcast_within(df, 10)._jdf.queryExecution().logical().toString().lower()
-    assert "hint" not in broadcast_within(df, 9)._jdf.queryExecution().logical().toString().lower()
+
+    def hinted(df, limit):
+        return "hint" in broadcast_within(df, limit)._jdf.queryExecution().logical().toString().lower()
+
+    assert hinted(spark.range(10), 480) and not hinted(spark.range(11), 480)
+    long_text = spark.range(1).select(F.repeat(F.lit("x"), 5000).alias("t"))
+    assert hinted(long_text, 5048) and not hinted(long_text, 5047)
+    assert not hinted(spark.range(1).select(F.array("id")), 10**9)

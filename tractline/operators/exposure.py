@@ -18,9 +18,8 @@ from pyspark.sql.window import Window
 
 from tractline.functions.values import in_range, number_in
 from tractline.operators.tracts import TractIndex, assign_tracts, with_fips
-from tractline.session import broadcast_within
+from tractline.session import BROADCAST_BYTES, broadcast_within
 
-BROADCAST_ROWS = 500_000
 LEVELS = ("tract", "county", "state", "zcta")
 
 
@@ -41,7 +40,7 @@ def select_variables(
         if index is None:
             raise ValueError("source_ids needs the variable index")
         chosen = index.where(F.col("source_id").isin(*source_ids)).select("variable_id").distinct()
-        values = values.join(broadcast_within(chosen, BROADCAST_ROWS), "variable_id", "left_semi")
+        values = values.join(broadcast_within(chosen), "variable_id", "left_semi")
     return values
 
 
@@ -60,7 +59,7 @@ def roll_up(
             raise ValueError("zcta needs a crosswalk")
         rank = F.struct(-F.col("weight"), F.col("zcta"))
         main = crosswalk.groupBy(F.col("FIPS").alias("_fips")).agg(F.min_by("zcta", rank).alias(geocode))
-        joined = df.join(broadcast_within(main, BROADCAST_ROWS), F.col(fips) == F.col("_fips"), "left")
+        joined = df.join(broadcast_within(main), F.col(fips) == F.col("_fips"), "left")
         return joined.drop("_fips")
     length = {"tract": 11, "county": 5, "state": 2}[level]
     return df.withColumn(geocode, F.substring(fips, 1, length))
@@ -74,19 +73,17 @@ def wide_values(values: DataFrame, variables: Mapping[int, str], last_year: int
     equality. A repeated value of the same variable, place and year counts once, as the larger.
     """
     chosen = select_variables(values, variable_ids=list(variables))
-    once = chosen.groupBy("geocode", "variable_id", "year").agg(F.max("value").alias("value"))
     if last_year is not None:
+        once = chosen.groupBy("geocode", "variable_id", "year").agg(F.max("value").alias("value"))
         following = F.lead("year").over(Window.partitionBy("geocode", "variable_id").orderBy("year"))
-        once = (
+        chosen = (
             once.where(F.col("year") <= last_year)
             .withColumn("_until", F.coalesce(following - 1, F.lit(last_year)))
             .withColumn("year", F.explode(F.sequence("year", "_until")))
         )
-    return (
-        once.groupBy("geocode", "year")
-        .pivot("variable_id", list(variables))
-        .agg(F.max("value"))
-        .withColumnsRenamed({str(k): name for k, name in variables.items()})
+    # One aggregate per variable instead of a pivot: a single shuffle, combined on the map side.
+    return chosen.groupBy("geocode", "year").agg(
+        *[F.max(F.when(F.col("variable_id") == key, F.col("value"))).alias(name) for key, name in variables.items()]
     )
 
 
@@ -98,7 +95,7 @@ def join_by_geocode(
     year: str = "year",
     year_rule: str = "exact",
     last_year: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add a column per variable, matched on place and year; rows without values get NULLs.
 
@@ -119,7 +116,7 @@ def join_by_geocode(
         wide = wide_values(values, variables)
     wide = wide.withColumnsRenamed({"geocode": "_geocode", "year": "_year"})
     return rows.join(
-        broadcast_within(wide, broadcast_rows), (F.col(geocode) == F.col("_geocode")) & (key == F.col("_year")), "left"
+        broadcast_within(wide, broadcast_bytes), (F.col(geocode) == F.col("_geocode")) & (key == F.col("_year")), "left"
     ).drop("_geocode", "_year")
 
 
@@ -201,4 +198,4 @@ def _orphans(referring: DataFrame, referred: DataFrame, key: str, label: str) ->
 def checked_values(source: DataFrame, index: DataFrame, values: DataFrame) -> DataFrame:
     """Values whose variable and data source are both in the catalog."""
     known = index.join(source.select("source_id").distinct(), "source_id", "left_semi").select("variable_id").distinct()
-    return values.join(broadcast_within(known, BROADCAST_ROWS), "variable_id", "left_semi")
+    return values.join(broadcast_within(known), "variable_id", "left_semi")

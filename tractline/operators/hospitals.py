@@ -13,7 +13,6 @@ HOSPITAL_ADDRESSES = (
     "240 nw 25th st miami fl 33127",
     "1400 briarcliff rd ne atlanta ga 30306",
 )
-BROADCAST_ROWS = 500_000
 
 
 def default_hospitals(spark: SparkSession) -> DataFrame:
@@ -25,15 +24,15 @@ def flag_hospitals(
 ) -> DataFrame:
     """Add boolean ``flag``: the compare form ``address`` is in the ``address`` column of ``hospitals``.
 
-    The built-in list needs no join. A list of the caller's is broadcast when it is counted to be
-    small and joined by key otherwise.
+    The built-in list needs no join. A list of the caller's is broadcast when it is measured to
+    be small and joined by key otherwise.
     """
     if hospitals is None:
         return df.withColumn(flag, F.coalesce(address.isin(*HOSPITAL_ADDRESSES), F.lit(False)))
     known = hospitals.select(F.col("address").alias("_hospital")).where("_hospital is not null").distinct()
     return (
         df.withColumn("_form", address)
-        .join(broadcast_within(known, BROADCAST_ROWS), F.col("_form") == F.col("_hospital"), "left")
+        .join(broadcast_within(known), F.col("_form") == F.col("_hospital"), "left")
         .withColumn(flag, F.col("_hospital").isNotNull())
         .drop("_form", "_hospital")
     )

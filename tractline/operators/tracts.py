@@ -8,7 +8,7 @@ edges of the same ring column. Where tracts overlap the smallest tract code wins
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,6 +136,9 @@ class TractIndex:
     level: int
     broadcastable: bool
 
+    def of_vintage(self, vintage: int) -> TractIndex:
+        return replace(self, cells=self.cells.where(F.col("vintage") == vintage))
+
 
 def build_tract_index(
     tracts: DataFrame, level: int | None = None, broadcast_bytes: int = BROADCAST_BYTES

@@ -156,7 +156,8 @@ def link_locations(
     index = tracts if isinstance(tracts, TractIndex) else build_tract_index(tracts)
     linked = placed.select(*LOCATION_COLUMNS, "category", "geocode_result", "reason")
     for vintage in VINTAGES:
-        linked = with_fips(assign_tracts(linked.withColumn("_vintage", F.lit(vintage)), index, vintage="_vintage"))
+        own = index.of_vintage(vintage)
+        linked = with_fips(assign_tracts(linked.withColumn("_vintage", F.lit(vintage)), own, vintage="_vintage"))
         linked = linked.withColumnRenamed("FIPS", f"FIPS_{vintage}").drop("_vintage")
     return linked
 

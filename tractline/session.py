@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Adaptive execution does the run-time work every plan here relies on: it splits skewed join
 # partitions, coalesces small ones and turns a shuffled join into a broadcast one when the
@@ -47,15 +49,25 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` with a broadcast hint only when counting proves it has at most ``max_rows`` rows.
+BROADCAST_BYTES = 128 * 1024 * 1024
+_ROW_BYTES, _FIELD_BYTES = 32, 16
 
-    The count stops one row past the limit. Above it the join stays a shuffled one, so a table
-    that outgrows the limit costs time and never memory.
+
+def broadcast_within(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint only when measuring proves that it fits in ``max_bytes``.
+
+    Rows are counted and text lengths added up, so neither many rows nor long texts slip through.
+    Above the limit the join stays a shuffled one: a table that outgrows it costs time and never
+    memory. Tables with nested columns are not measured and so never hinted.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    fields = df.schema.fields
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)) for f in fields):
+        return df
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in fields if isinstance(f.dataType, T.StringType)]
+    length = reduce(lambda a, b: a + b, texts, F.lit(0).cast("bigint"))
+    rows, characters = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(length), F.lit(0))).first()
+    measured = rows * (_ROW_BYTES + _FIELD_BYTES * len(fields)) + characters
+    return F.broadcast(df) if measured <= max_bytes else df
 
 
 def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
