@@ -107,6 +107,24 @@ def _last_two(x: str) -> str:
     return f"regexp_extract({x}, '([^ ]+ )?[^ ]+$', 0)"
 
 
+_GENERIC = (
+    "('n', 's', 'e', 'w', 'ne', 'nw', 'se', 'sw', 'north', 'south', 'east', 'west', 'st', 'street', 'ave', 'av', "
+    "'avenue', 'rd', 'road', 'dr', 'drive', 'ln', 'lane', 'blvd', 'boulevard', 'ct', 'court', 'pl', 'place', 'way', "
+    "'ter', 'terrace', 'cir', 'circle', 'hwy', 'highway', 'pkwy', 'parkway', 'sq', 'square', 'trl', 'trail')"
+)
+
+
+def _sounds(x: str) -> str:
+    words = f"string_split({x}, ' ')[2:]"
+    telling = f"list_filter({words}, lambda w: w NOT IN {_GENERIC})"
+    chosen = f"CASE WHEN len({telling}) > 0 THEN {telling} ELSE {words} END"
+    bare = f"list_transform({chosen}, lambda w: coalesce(nullif(regexp_replace(w, '[aeiouyhw]', '', 'g'), ''), w))"
+    return (
+        f"list_concat(list_transform({bare}, lambda c: '<' || c[1:3]), "
+        f"list_transform({bare}, lambda c: '>' || reverse(c)[1:3]))"
+    )
+
+
 # Every address point with the forms that queries are compared with.
 POINTS = f"""
 points AS (
@@ -115,7 +133,9 @@ points AS (
            substr({known('zip')}, 1, 5) AS p_zip
     FROM address_points),
 points_keyed AS (
-    SELECT *, regexp_extract(p_street, '^([0-9]+)\\b', 1) AS p_number, p_city || ' ' || p_state AS p_place FROM points)"""
+    SELECT *, regexp_extract(p_street, '^([0-9]+)\\b', 1) AS p_number, p_city || ' ' || p_state AS p_place,
+           {_sounds('p_street')} AS p_sounds
+    FROM points)"""
 
 _BEST = """
     SELECT * FROM (
@@ -132,11 +152,13 @@ asked AS (
            substr({known(f"split_part({text('zip')}, '.', 1)")}, 1, 5) AS q_zip
     FROM {rows}),
 asked_keyed AS (
-    SELECT *, regexp_extract(q_street, '^([0-9]+)\\b', 1) AS q_number, q_city || ' ' || q_state AS q_place FROM asked),
+    SELECT *, regexp_extract(q_street, '^([0-9]+)\\b', 1) AS q_number, q_city || ' ' || q_state AS q_place,
+           {_sounds('q_street')} AS q_sounds
+    FROM asked),
 scored AS (
     SELECT rid, p.*, 1e0 - levenshtein(q_street, p_street) / greatest(length(q_street), length(p_street)) AS score
     FROM asked_keyed q JOIN points_keyed p
-      ON q_number <> '' AND q_number = p_number
+      ON q_number <> '' AND q_number = p_number AND list_has_any(q_sounds, p_sounds)
      AND CASE WHEN q_zip <> '' THEN q_zip = p_zip
               ELSE q_city <> '' AND q_state <> '' AND p_city <> '' AND p_state <> ''
                    AND {_last_two('q_place')} = {_last_two('p_place')} END),
@@ -151,7 +173,8 @@ asked AS (
 asked_keyed AS (
     SELECT rid, regexp_extract(q_all, ' ([0-9]{{5}})( [0-9]{{4}})?$', 1) AS q_zip,
            regexp_replace(q_all, ' [0-9]{{5}}( [0-9]{{4}})?$', '') AS q_text,
-           regexp_extract(q_all, '^([0-9]+)\\b', 1) AS q_number
+           regexp_extract(q_all, '^([0-9]+)\\b', 1) AS q_number,
+           {_sounds("regexp_replace(q_all, ' [0-9]{5}( [0-9]{4})?$', '')")} AS q_sounds
     FROM asked),
 pairs AS (
     SELECT rid, p.*,
@@ -159,7 +182,7 @@ pairs AS (
                 THEN left(q_text, length(q_text) - length(p_place) - 1) ELSE q_text END AS a,
            CASE WHEN ends_with(q_text, ' ' || p_place) THEN p_street ELSE p_street || ' ' || p_place END AS b
     FROM asked_keyed q JOIN points_keyed p
-      ON q_number <> '' AND q_number = p_number
+      ON q_number <> '' AND q_number = p_number AND list_has_any(q_sounds, p_sounds)
      AND CASE WHEN q_zip <> '' THEN q_zip = p_zip
               ELSE p_city <> '' AND p_state <> '' AND {_last_two('q_text')} = {_last_two('p_place')} END),
 scored AS (SELECT *, 1e0 - levenshtein(a, b) / greatest(length(a), length(b)) AS score FROM pairs),

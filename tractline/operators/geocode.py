@@ -1,8 +1,11 @@
 """Addresses to coordinates: a blocked fuzzy join with the caller's address points.
 
-The scoring is ours. An address can only match a point of the same region (ZIP code, or city and
-state where the ZIP is blank) with the same house number; among those the score is one minus the
-edit distance over the longer length, and scores under the threshold are rejected.
+The rules are ours. An address can only match a point of the same region (ZIP code, or city and
+state where the ZIP is blank) with the same house number whose street name shares a sound with it:
+the consonants that some word begins or ends with. So a candidate list holds the few streets that
+could be meant, however many addresses a region or a house number has. Among the candidates the
+score is one minus the edit distance over the longer length, and scores under the threshold are
+rejected.
 """
 
 from __future__ import annotations
@@ -15,6 +18,15 @@ from tractline.schemas import ADDRESS_PARTS, ADDRESS_POINTS, require
 from tractline.session import computed_once
 
 DEFAULT_THRESHOLD = 0.7
+# Words that say nothing about which street is meant.
+GENERIC_WORDS = (
+    "n", "s", "e", "w", "ne", "nw", "se", "sw", "north", "south", "east", "west",
+    "st", "street", "ave", "av", "avenue", "rd", "road", "dr", "drive", "ln", "lane", "blvd", "boulevard",
+    "ct", "court", "pl", "place", "way", "ter", "terrace", "cir", "circle", "hwy", "highway",
+    "pkwy", "parkway", "sq", "square", "trl", "trail",
+)
+_SILENT = "aeiouyhw"
+_SOUND_LENGTH = 3
 _ANSWER = (
     "latitude",
     "longitude",
@@ -40,6 +52,27 @@ def _house_number(text: Column) -> Column:
     return F.regexp_extract(text, r"^(\d+)\b", 1)
 
 
+def _sounds(text: Column) -> Column:
+    """The first and last consonants of each telling word after the house number.
+
+    A text of generic words only keeps them all. A word without consonants stands for itself.
+    """
+    words = F.slice(F.split(text, " "), F.lit(2), F.greatest(F.size(F.split(text, " ")) - 1, F.lit(0)))
+    telling = F.filter(words, lambda w: ~w.isin(*GENERIC_WORDS))
+    chosen = F.when(F.size(telling) > 0, telling).otherwise(words)
+    consonants = F.transform(
+        chosen, lambda w: F.coalesce(F.nullif(F.translate(w, _SILENT, ""), F.lit("")), w)
+    )
+    ends = F.transform(
+        consonants,
+        lambda c: F.array(
+            F.concat(F.lit("<"), F.substring(c, 1, _SOUND_LENGTH)),
+            F.concat(F.lit(">"), F.substring(F.reverse(c), 1, _SOUND_LENGTH)),
+        ),
+    )
+    return F.array_distinct(F.flatten(ends))
+
+
 def _last_words(text: Column, n: int) -> Column:
     return F.substring_index(text, " ", -n)
 
@@ -55,10 +88,11 @@ def _city_region(city_state: Column) -> Column:
 
 
 def query_keys(asked: DataFrame, n_columns: int) -> DataFrame:
-    """Region, house number and comparison texts of raw addresses in columns ``_k0``, ``_k1``, ...
+    """Region, house number, sound and comparison texts of raw addresses in ``_k0``, ``_k1``, ...
 
-    Four columns are street, city, state and ZIP, one is a whole address. Addresses with nothing
-    to look up by are left out. Each step is named before it is used more than once.
+    Four columns are street, city, state and ZIP, one is a whole address. There is a row per sound
+    of the address; addresses with nothing to look up by have none. Each step is named before it
+    is used more than once.
     """
     if n_columns == 1:
         staged = asked.withColumn("_whole", match_form(compose_single(F.col("_k0")))).withColumns(
@@ -88,16 +122,20 @@ def query_keys(asked: DataFrame, n_columns: int) -> DataFrame:
         "_number": _house_number(numbered),
         "_text": F.col("_text"),
         "_street": F.col("_street"),
+        "_sounds": _sounds(numbered),
     }
     return (
         computed_once(staged, keys)
         .where(F.col("_region").isNotNull() & (F.col("_number") != ""))
-        .select(*asked.columns, *keys)
+        .select(*asked.columns, "_region", "_number", "_text", "_street", F.explode("_sounds").alias("_sound"))
     )
 
 
 def _point_keys(points: DataFrame) -> DataFrame:
-    """Each address point under both of its regions; copies of a point keep the smallest id."""
+    """Each address point under both of its regions and all of its sounds.
+
+    Copies of a point keep the smallest id.
+    """
     require(points.columns, ADDRESS_POINTS.names, "address points")
     keyed = (
         points.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
@@ -133,6 +171,7 @@ def _point_keys(points: DataFrame) -> DataFrame:
                 F.struct("point_id", "latitude", "longitude", *[F.col(c) for c in ADDRESS_PARTS])
             ).alias("_point")
         )
+        .withColumn("_sound", F.explode(_sounds(F.col("_p_street"))))
     )
 
 
@@ -185,7 +224,7 @@ def geocode(
     spread = F.when(asks, 0).otherwise(1 + F.pmod(F.xxhash64(*given), F.lit(1024)).cast("int"))
 
     pairs = query_keys(rows.where(asks).select(*names).distinct(), len(columns)).join(
-        _point_keys(address_points), ["_region", "_number"]
+        _point_keys(address_points), ["_region", "_number", "_sound"]
     )
     rank = F.struct(F.col("score"), -F.col("_point.point_id"))
     best = (

@@ -22,7 +22,6 @@ from tractline.schemas import (
 )
 
 DEFAULT_CUTOFF = "2012-01-01"
-DEFAULT_BIN_DAYS = 365
 _FOREVER = "9999-12-31"
 
 
@@ -56,7 +55,7 @@ def visits_in_residence(
     history: DataFrame,
     cutoff: str | None = DEFAULT_CUTOFF,
     open_ended: bool = False,
-    bin_days: int = DEFAULT_BIN_DAYS,
+    bin_days: int | None = None,
     last_bin_from: dt.date | None = None,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -68,23 +67,28 @@ def visits_in_residence(
     The dates are compared inside time bins: a residence is repeated for each bin it covers, a
     visit has the one bin of its start date, and the join key is (person, bin). A person with an
     extreme number of visits and residences is so spread over many keys and a visit only meets
-    residences of its own period. Starts from ``last_bin_from`` on (today by default) share one
-    bin and starts before the cutoff cannot occur, so an end date far in the future adds no
-    copies; where the bins begin and end never changes the result.
+    residences of its own period. By default a bin is as long as the mean residence, read from
+    the two date columns of ``history``: residences are then repeated about twice in total, and
+    a visit meets only about twice the residences that hold it. Starts from ``last_bin_from`` on
+    (today by default) share one bin and starts before the cutoff cannot occur, so an end date far
+    in the future adds no copies. How the bins are cut never changes the result.
 
     Persons join the residences, the smaller side, so visits are shuffled exactly once. ``carry``
     names columns already worked out per location that the visits should receive.
     """
     require(person.columns, PERSON_COLUMNS, "PERSON")
     require(visit.columns, VISIT_COLUMNS, "VISIT_OCCURRENCE")
-    first = _bin_number(dt.date.fromisoformat(cutoff) if cutoff else dt.date(1900, 1, 1), bin_days)
-    last = max(first, _bin_number(last_bin_from or dt.date.today(), bin_days))
+    first_day = dt.date.fromisoformat(cutoff) if cutoff else dt.date(1900, 1, 1)
+    last_day = max(first_day, last_bin_from or dt.date.today())
+    end = F.coalesce("end_date", F.lit(_FOREVER).cast("date")) if open_ended else F.col("end_date")
+    if bin_days is None:
+        bin_days = _mean_stay(history.select("start_date", end.alias("end_date")), first_day, last_day)
+    first, last = _bin_number(first_day, bin_days), _bin_number(last_day, bin_days)
 
     def bin_of(date: Column) -> Column:
         number = F.floor(F.unix_date(date) / bin_days).cast("int")
         return F.least(F.greatest(number, F.lit(first)), F.lit(last))
 
-    end = F.coalesce("end_date", F.lit(_FOREVER).cast("date")) if open_ended else F.col("end_date")
     residences = (
         located_history(location, history, carry)
         .withColumn("end_date", end)
@@ -115,6 +119,13 @@ def visits_in_residence(
     )
 
 
+def _mean_stay(stays: DataFrame, first_day: dt.date, last_day: dt.date) -> int:
+    """Mean length in days of the stays' parts between the two days, at least 1."""
+    start, end = F.greatest("start_date", F.lit(first_day)), F.least("end_date", F.lit(last_day))
+    (mean,) = stays.where(start <= end).agg(F.avg(F.date_diff(end, start) + 1)).first()
+    return max(1, round(mean or 1))
+
+
 def _bin_number(day: dt.date, bin_days: int) -> int:
     return (day - dt.date(1970, 1, 1)).days // bin_days
 
