@@ -202,10 +202,16 @@ def duckdb_text(name: str) -> str:
 class Domain:
     """The derived tables of one test-data folder as DataFrames, each made when first used."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    def __init__(self, spark: SparkSession, folder: str, written: str | None = None):
+        """``written`` is a folder that :meth:`write` filled; the tables are then read from there."""
+        self.spark, self.folder, self.written = spark, folder.rstrip("/"), written
         self._made: dict[str, DataFrame] = {}
 
+    def write(self, target: str, files: int) -> None:
+        for name in DERIVED:
+            self[name].repartition(files).write.parquet(f"{target}/{name}")
+        self.tracts.repartition(files).write.parquet(f"{target}/tracts")
+
     def base(self, name: str) -> DataFrame:
         """A test table. The larger ones are single files of one row group, which Spark cannot
         split; they are spread over the cores. A table of many files is read as it is."""
@@ -218,6 +224,8 @@ class Domain:
         if name not in self._made:
             if name in TABLES:
                 self._made[name] = self.base(name)
+            elif self.written:
+                self._made[name] = self.spark.read.parquet(f"{self.written}/{name}")
             else:
                 text = spark_text(name)
                 used = {t: self.base(t) for t in TABLES if f" {t}" in text}
@@ -231,6 +239,8 @@ class Domain:
     @cached_property
     def tracts(self) -> DataFrame:
         """Nested polygons: corner points of closed rings, turned into edges by the package."""
+        if self.written:
+            return self.spark.read.parquet(f"{self.written}/tracts")
         supplier = self["supplier"]
         width = supplier.agg(F.ceil(F.sqrt(F.count(F.lit(1)).cast("double"))).cast("bigint")).scalar()
         grid = (

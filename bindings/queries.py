@@ -19,6 +19,7 @@ from tractline.sinks import files
 from tractline.sources import csv_folder, tables
 from tractline.streaming import incremental
 
+BUILDERS: dict[str, Callable[[Domain], DataFrame]] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 VARIABLES = {1: "mean_noise", 2: "deprivation", 3: "traffic"}
@@ -26,6 +27,7 @@ VARIABLES = {1: "mean_noise", 2: "deprivation", 3: "traffic"}
 
 def query(name: str, sql: str | None = None):
     def register(build: Callable[[Domain], DataFrame]):
+        BUILDERS[name] = build
         QUERIES[name] = lambda spark, folder: build(Domain(spark, folder))
         if sql is not None:
             ORACLES[name] = sql
