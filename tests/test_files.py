@@ -22,7 +22,7 @@ def folder(tmp_path):
     (inbox / "coords_a.csv").write_text("entity_id,year,latitude,longitude\n1,2012,29.6,-82.4\n")
     (inbox / "coords_b.csv").write_text(" Longitude ,LATITUDE,entity_id,year\n-82.5,29.7,2,2023\n")
     (inbox / "both.csv").write_text("latitude,longitude,address,entity_id\n1,2,x,3\n")
-    (inbox / "LOCATION.csv").write_text("﻿" + LOCATION_HEADER + "\n" + LOCATION_LINE + "\n", encoding="utf-8")
+    (inbox / "LOCATION.csv").write_text("\ufeff" + LOCATION_HEADER + "\n" + LOCATION_LINE + "\n", encoding="utf-8")
     (inbox / "location_history.csv").write_text("location_id,entity_id\n1,1\n")
     (inbox / "other.csv").write_text("a,b\n1,2\n")
     (inbox / "twice.csv").write_text("address,Address \nx,y\n")

@@ -102,7 +102,7 @@ def read_header(spark: SparkSession, file: str) -> list[str]:
         line = reader.readLine()
     finally:
         stream.close()
-    return next(csv.reader([(line or "").removeprefix("﻿")]), [])
+    return next(csv.reader([(line or "").removeprefix("\ufeff")]), [])
 
 
 def read_csv_files(spark: SparkSession, files: list[str], multi_line: bool = False) -> DataFrame:
