@@ -888,8 +888,8 @@ asked_rows AS (
     SELECT location_id AS rid, address_1 AS street, city, state, zip FROM location WHERE {_CATEGORY} = 'Address'),
 {q.match_multi('asked_rows')},
 placed AS (
-    SELECT s.*, CASE WHEN category = 'Address' THEN b.latitude ELSE {q.number('s.latitude')} END AS lat,
-           CASE WHEN category = 'Address' THEN b.longitude ELSE {q.number('s.longitude')} END AS lon
+    SELECT s.*, CASE category WHEN 'Address' THEN b.latitude WHEN 'Latlong' THEN {q.number('s.latitude')} END AS lat,
+           CASE category WHEN 'Address' THEN b.longitude WHEN 'Latlong' THEN {q.number('s.longitude')} END AS lon
     FROM sorted_rows s LEFT JOIN best b ON s.location_id = b.rid),
 pts AS (
     SELECT DISTINCT location_id AS rid, lon AS x, lat AS y, v FROM placed

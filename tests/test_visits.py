@@ -155,3 +155,31 @@ def test_union_pages_and_reductions(spark):
     assert summaries.all_null(older.withColumn("note", F.lit(None)), "note").first().note
     assert [r.id for r in locations.page(both, ("id",), offset=1, rows=1).collect()] == [2]
     assert [r.id for r in locations.in_row_order(both, "id").collect()] == [1, 2, 3]
+
+
+def test_link_visits_uses_only_usable_places(spark):
+    from tractline.plans.linkage import link_visits
+    from tractline.schemas import ADDRESS_POINTS, TRACTS
+
+    square = [(-85.0, -5.0, 5.0, -5.0), (5.0, -5.0, 5.0, 35.0), (5.0, 35.0, -85.0, 35.0), (-85.0, 35.0, -85.0, -5.0)]
+    tracts = spark.createDataFrame([(f"100102010{v % 7}", "x", v, square) for v in (2010, 2020)], TRACTS)
+    points = spark.createDataFrame([(1, "7 Oak St", "City", "FL", "32209", 30.5, -80.5)], ADDRESS_POINTS)
+    rows = [(1, "7 Oak St", "0", "0"), (2, "7 Oak St", "30", "-80"), (3, "", "0", "0"), (4, "7 Oak St", "30", "0")]
+    stays = [(i, 5, "2013-01-01", "2023-12-31") for i, *_ in rows]
+    trips = [(100, 5, "2013-05-05", "2013-05-06"), (101, 5, "2021-05-05", "2021-05-06")]
+    old, new = (f"0100102010{v % 7}" for v in (2010, 2020))
+
+    def linked(address_points):
+        df = link_visits(persons(spark, [5]), visit(spark, trips), location(spark, rows), history(spark, stays), tracts, address_points)
+        return {
+            (r.location_id, r.year): (r.category, r.latitude, r.geocode_result, r.reason, r.FIPS) for r in df.collect()
+        }
+
+    imprecise = "Imprecise Geocode"
+    got = linked(points)
+    assert len(got) == 8
+    assert got[1, 2013] == ("Address", 30.5, "Geocoded", "", old) and got[1, 2021][-1] == new
+    assert got[2, 2013] == ("Latlong", 30.0, "Geocoded", "", old) and got[2, 2021][-1] == new
+    assert got[3, 2013] == ("Invalid", None, imprecise, "Street missing", None)
+    assert got[4, 2021] == ("Unclassified", None, imprecise, "", None)
+    assert linked(None)[1, 2013] == ("Address", None, imprecise, "", None)

@@ -131,10 +131,10 @@ def query_keys(asked: DataFrame, n_columns: int) -> DataFrame:
     )
 
 
-def _point_keys(points: DataFrame) -> DataFrame:
+def _point_keys(points: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Each address point under both of its regions and all of its sounds.
 
-    Copies of a point keep the smallest id.
+    Copies of a point keep the smallest id. ``carry`` names further point columns to keep.
     """
     require(points.columns, ADDRESS_POINTS.names, "address points")
     keyed = (
@@ -168,7 +168,7 @@ def _point_keys(points: DataFrame) -> DataFrame:
         .groupBy("_region", "_number", "_p_street", "_p_tail")
         .agg(
             F.min(
-                F.struct("point_id", "latitude", "longitude", *[F.col(c) for c in ADDRESS_PARTS])
+                F.struct("point_id", "latitude", "longitude", *ADDRESS_PARTS, *carry)
             ).alias("_point")
         )
         .withColumn("_sound", F.explode(_sounds(F.col("_p_street"))))
@@ -206,6 +206,7 @@ def geocode(
     columns: tuple[str, ...] = ADDRESS_PARTS,
     threshold: float = DEFAULT_THRESHOLD,
     needed: Column | None = None,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Add the best matching point's coordinates, address parts, score and precision to every row.
 
@@ -213,6 +214,7 @@ def geocode(
     as written, is cleaned and looked up once: copies collapse on the map side before anything is
     shuffled and the answers are joined back, so one address shared by very many rows is one row
     of work. Of equal scores the smallest point id wins. Rows where ``needed`` is false get none.
+    ``carry`` names further columns of the points that the rows should receive.
     """
     names = [f"_k{i}" for i in range(len(columns))]
     given = [c for c in df.columns if c not in _ANSWER]
@@ -224,7 +226,7 @@ def geocode(
     spread = F.when(asks, 0).otherwise(1 + F.pmod(F.xxhash64(*given), F.lit(1024)).cast("int"))
 
     pairs = query_keys(rows.where(asks).select(*names).distinct(), len(columns)).join(
-        _point_keys(address_points), ["_region", "_number", "_sound"]
+        _point_keys(address_points, carry), ["_region", "_number", "_sound"]
     )
     rank = F.struct(F.col("score"), -F.col("_point.point_id"))
     best = (
@@ -239,9 +241,10 @@ def geocode(
             *[F.col(f"_best._point.{c}").alias(f"matched_{c}") for c in ADDRESS_PARTS],
             F.col("_best.score").alias("score"),
             F.when(F.col("_best.score") == 1.0, "exact").otherwise("close").alias("precision"),
+            *[F.col(f"_best._point.{c}").alias(c) for c in carry],
         )
     )
-    return rows.withColumn("_spread", spread).join(best, [*names, "_spread"], "left").select(*given, *_ANSWER)
+    return rows.withColumn("_spread", spread).join(best, [*names, "_spread"], "left").select(*given, *_ANSWER, *carry)
 
 
 def address_text(columns: tuple[str, ...] = ADDRESS_PARTS) -> Column:

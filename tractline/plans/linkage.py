@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tractline.functions.status import geocode_result, hospital_form_multi, hospital_form_single, reason
@@ -20,10 +20,11 @@ from tractline.operators.locations import needs_geocoding, trim_text
 from tractline.operators.summaries import supported_vintages
 from tractline.operators.tracts import TractIndex, assign_tracts, build_tract_index, with_fips
 from tractline.operators.visits import DEFAULT_CUTOFF, classify, visits_in_residence
-from tractline.schemas import ADDRESS, ADDRESS_PARTS, LOCATION_COLUMNS, VINTAGES, ContractError, require
+from tractline.schemas import ADDRESS, ADDRESS_PARTS, LATLONG, LOCATION_COLUMNS, VINTAGES, ContractError, require
 
 # LOCATION's street, city, state and ZIP. The unit in address_2 does not help matching.
 LOCATION_PARTS = ("address_1", "city", "state", "zip")
+_CODES = tuple(f"FIPS_{vintage}" for vintage in VINTAGES)
 
 
 def _with_vintage(df: DataFrame, pivot: int) -> DataFrame:
@@ -36,6 +37,25 @@ def _with_tracts(df: DataFrame, tracts: DataFrame | TractIndex) -> DataFrame:
     return with_fips(assign_tracts(df, tracts)).drop("year_for_fips")
 
 
+def with_codes(df: DataFrame, tracts: DataFrame | TractIndex) -> DataFrame:
+    """Add the tract code of every vintage, ``FIPS_2010`` and ``FIPS_2020``, to rows with coordinates.
+
+    Used on places (address points, locations), which are far fewer than the rows that refer to
+    them; those only pick a code by year.
+    """
+    index = tracts if isinstance(tracts, TractIndex) else build_tract_index(tracts)
+    for vintage, code in zip(VINTAGES, _CODES):
+        own = index.of_vintage(vintage)
+        df = with_fips(assign_tracts(df.withColumn("_vintage", F.lit(vintage)), own, vintage="_vintage"))
+        df = df.withColumnRenamed("FIPS", code).drop("_vintage")
+    return df
+
+
+def _code_of(vintage: Column) -> Column:
+    """The code of the row's own vintage."""
+    return F.when(vintage == VINTAGES[0], F.col(_CODES[0])).otherwise(F.col(_CODES[1]))
+
+
 def link_coordinates(df: DataFrame, tracts: DataFrame | TractIndex, pivot: int = 2020) -> DataFrame:
     """Rows with coordinates to rows with ``FIPS``.
 
@@ -59,8 +79,12 @@ def geocode_addresses(
     hospitals: DataFrame | None = None,
     threshold: float = DEFAULT_THRESHOLD,
     drop_address_parts: bool = True,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Address rows with ``latitude``, ``longitude``, ``geocode_result`` and ``reason``."""
+    """Address rows with ``latitude``, ``longitude``, ``geocode_result`` and ``reason``.
+
+    ``carry`` names further columns of the points that the rows should receive.
+    """
     single = "address" in df.columns
     columns = ("address",) if single else ADDRESS_PARTS
     require(df.columns, columns, "addresses")
@@ -68,7 +92,7 @@ def geocode_addresses(
         df = df.withColumn("zip", zip_strip_suffix(F.col("zip")))
     if "year" in df.columns:
         df = df.withColumn("year", year_in(df, "year"))
-    placed = geocode(df, address_points, columns, threshold)
+    placed = geocode(df, address_points, columns, threshold, carry=carry)
     result = geocode_result(F.col("latitude"), F.col("longitude"), numeric=True)
     if single:
         form, parts = hospital_form_single(compose_single(F.col("address"))), ()
@@ -90,9 +114,15 @@ def link_addresses(
     pivot: int = 2020,
     drop_address_parts: bool = True,
 ) -> DataFrame:
-    """Address rows to rows with coordinates, result, reason and ``FIPS``."""
-    placed = geocode_addresses(df, address_points, hospitals, threshold, drop_address_parts)
-    return _with_tracts(_with_vintage(placed, pivot), tracts)
+    """Address rows to rows with coordinates, result, reason and ``FIPS``.
+
+    Coordinates come from the address points only, so tracts are looked up per point, once, and
+    carried through the match.
+    """
+    points = with_codes(address_points, tracts)
+    placed = geocode_addresses(df, points, hospitals, threshold, drop_address_parts, carry=_CODES)
+    coded = _with_vintage(placed, pivot).withColumn("FIPS", _code_of(F.col("year_for_fips")))
+    return coded.drop("year_for_fips", *_CODES)
 
 
 def refresh_location(
@@ -132,20 +162,28 @@ def link_locations(
 ) -> DataFrame:
     """LOCATION rows with category, coordinates, result, reason and a tract code per vintage.
 
-    Everything a visit needs to know about its place is worked out here, once per location.
+    The coordinates are the given ones in category ``Latlong``, the matched ones in ``Address`` and
+    NULL otherwise. Everything a visit needs to know about its place is worked out here, once per location.
     """
     require(location.columns, LOCATION_COLUMNS, "LOCATION")
+    index = tracts if isinstance(tracts, TractIndex) else build_tract_index(tracts)
     rows = classify(location.withColumn("zip", zip_strip_suffix(F.col("zip"))), numeric)
-    lat, lon = number_in(rows, "latitude"), number_in(rows, "longitude")
-    rows = rows.withColumns({"given_latitude": lat, "given_longitude": lon}).drop("latitude", "longitude")
+    # Elsewhere a zero stands for a missing coordinate and must not be read as a place.
+    usable = {c: F.when(F.col("category") == LATLONG, number_in(rows, c)) for c in ("latitude", "longitude")}
+    given = with_codes(rows.withColumns(usable), index)
+    found = ("latitude", "longitude", *_CODES)
     if address_points is None:
-        null = F.lit(None).cast("double")
-        placed = rows.withColumns({"latitude": null, "longitude": null})
+        placed = given
     else:
-        placed = geocode(rows, address_points, LOCATION_PARTS, threshold, F.col("category") == ADDRESS)
-    for name in ("latitude", "longitude"):
-        placed = placed.withColumn(
-            name, F.when(F.col("category") == ADDRESS, F.col(name)).otherwise(F.col(f"given_{name}"))
+        placed = geocode(
+            given.withColumnsRenamed({c: f"given_{c}" for c in found}),
+            with_codes(address_points, index),
+            LOCATION_PARTS,
+            threshold,
+            F.col("category") == ADDRESS,
+            carry=_CODES,
+        ).withColumns(
+            {c: F.when(F.col("category") == ADDRESS, F.col(c)).otherwise(F.col(f"given_{c}")) for c in found}
         )
     parts = [F.col(c) for c in LOCATION_PARTS]
     placed = (
@@ -153,13 +191,7 @@ def link_locations(
         .withColumn("geocode_result", geocode_result(F.col("latitude"), F.col("longitude"), numeric=True))
         .withColumn("reason", reason(F.col("geocode_result"), F.col("_at_hospital"), *parts))
     )
-    index = tracts if isinstance(tracts, TractIndex) else build_tract_index(tracts)
-    linked = placed.select(*LOCATION_COLUMNS, "category", "geocode_result", "reason")
-    for vintage in VINTAGES:
-        own = index.of_vintage(vintage)
-        linked = with_fips(assign_tracts(linked.withColumn("_vintage", F.lit(vintage)), own, vintage="_vintage"))
-        linked = linked.withColumnRenamed("FIPS", f"FIPS_{vintage}").drop("_vintage")
-    return linked
+    return placed.select(*LOCATION_COLUMNS, "category", "geocode_result", "reason", *_CODES)
 
 
 def link_visits(
@@ -183,9 +215,8 @@ def link_visits(
     Rows of category ``Invalid`` and ``Unclassified`` stay, with no code.
     """
     places = link_locations(location, address_points, tracts, hospitals, threshold, numeric)
-    carried = ("category", "geocode_result", "reason", *(f"FIPS_{v}" for v in VINTAGES))
+    carried = ("category", "geocode_result", "reason", *_CODES)
     visits = visits_in_residence(
         person, visit, places, history, cutoff=cutoff, open_ended=open_ended, carry=carried
     )
-    code = F.when(vintage_of(F.col("year"), pivot) == VINTAGES[0], F.col("FIPS_2010")).otherwise(F.col("FIPS_2020"))
-    return visits.withColumn("FIPS", code).drop("FIPS_2010", "FIPS_2020")
+    return visits.withColumn("FIPS", _code_of(vintage_of(F.col("year"), pivot))).drop(*_CODES)
