@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from bindings.domain import TABLES
+from bindings.queries import ORACLES, QUERIES
 from check import rows_of
 
 FOLDER = entry_module.SMOKE_FOLDER
@@ -19,7 +20,8 @@ def db():
 
 
 def test_every_query_has_a_check():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 def test_entry(spark):
@@ -27,7 +29,7 @@ def test_entry(spark):
     assert df.columns == ["category", "vintage", "n_rows"] and df.count() == 8
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     df = entry_module.queries()[name](spark, FOLDER)
     got = rows_of(df.columns, df.collect())
