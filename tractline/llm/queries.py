@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tractline.llm import sharding
+from tractline.llm import line_dedup, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +30,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query("op1_sharding")
 def _(spark, folder):
     return sharding.shard_documents(table(spark, folder, "documents"))
+
+
+@query("op9_simhash")
+def _(spark, folder):
+    groups = simhash.near_duplicates(table(spark, folder, "documents"))
+    bits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return groups.select("doc_id", bits.alias("fingerprint"), "component_id")
+
+
+@query("op3_line_dedup", line_dedup.SQL)
+def _(spark, folder):
+    return line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
