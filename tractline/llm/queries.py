@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractline.llm import line_dedup, sharding, simhash
+from tractline.llm import line_dedup, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +42,11 @@ def _(spark, folder):
 @query("op3_line_dedup", line_dedup.SQL)
 def _(spark, folder):
     return line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query("op10_toxicity")
+def _(spark, folder):
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    learn = table(spark, folder, "labels").filter(~held_out)
+    scored = toxicity.score_documents(table(spark, folder, "documents"), learn)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
