@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractline.llm import line_dedup, sharding, simhash, toxicity
+from tractline.llm import decontamination, language, line_dedup, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -50,3 +50,16 @@ def _(spark, folder):
     learn = table(spark, folder, "labels").filter(~held_out)
     scored = toxicity.score_documents(table(spark, folder, "documents"), learn)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op8_decontamination", decontamination.SQL)
+def _(spark, folder):
+    return decontamination.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op5_language_id")
+def _(spark, folder):
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    docs = table(spark, folder, "documents")
+    found = language.identify(docs, docs.filter(~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
