@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractline.llm import decontamination, language, line_dedup, sharding, simhash, toxicity
+from tractline.llm import decontamination, language, line_dedup, sharding, simhash, toxicity, warc
+from tractline.session import scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,3 +64,10 @@ def _(spark, folder):
     docs = table(spark, folder, "documents")
     found = language.identify(docs, docs.filter(~held_out))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_warc", warc.SQL)
+def _(spark, folder):
+    archives = scratch_folder(spark, "warc")
+    warc.write_archives(table(spark, folder, "pages"), archives)
+    return warc.page_digests(warc.read_pages(warc.read_records(spark, archives)))
