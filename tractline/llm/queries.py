@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractline.llm import decontamination, language, line_dedup, sharding, simhash, toxicity, warc
+from tractline.llm import decontamination, language, line_dedup, packing, sharding, simhash, toxicity, warc
 from tractline.session import scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,8 @@ def _(spark, folder):
     archives = scratch_folder(spark, "warc")
     warc.write_archives(table(spark, folder, "pages"), archives)
     return warc.page_digests(warc.read_pages(warc.read_records(spark, archives)))
+
+
+@query("op7_packing")
+def _(spark, folder):
+    return packing.pack(table(spark, folder, "documents"))
