@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractline.llm import decontamination, language, line_dedup, packing, sharding, simhash, toxicity, warc
+from tractline.llm import decontamination, language, line_dedup, packing, sharding, simhash, topk, toxicity, warc
 from tractline.session import scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,9 @@ def _(spark, folder):
 @query("op7_packing")
 def _(spark, folder):
     return packing.pack(table(spark, folder, "documents"))
+
+
+@query("op6_topk", topk.SQL)
+def _(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return topk.top_products(vectors, vectors.filter("vec_id % 20 = 0"))
