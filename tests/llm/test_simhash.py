@@ -60,17 +60,17 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     assert run(spark, []) == (set(), 0)
 
 
-@pytest.mark.parametrize("run_size", [4, 1024])
-def test_links_connect_exactly_what_is_near(spark, run_size, monkeypatch):
+@pytest.mark.parametrize(("run_size", "distance"), [(4, 3), (1024, 3), (4, 4)])
+def test_links_connect_exactly_what_is_near(spark, run_size, distance, monkeypatch):
     rng = np.random.default_rng(3)
     centres = rng.integers(0, 2**63, 6, dtype=np.uint64)
     near = [int(c) ^ sum(1 << int(b) for b in rng.choice(64, 2, replace=False)) for c in centres for _ in range(40)]
     prints = sorted({*near, *(int(x) for x in rng.integers(0, 2**63, 300, dtype=np.uint64)), 0, 2**64 - 1})
     signed = [p - 2**64 if p >= 2**63 else p for p in prints]
     df = spark.createDataFrame([(p,) for p in signed], "fingerprint bigint")
-    monkeypatch.setattr(simhash.keyed, "__defaults__", (3, run_size))
-    roots = {r.node: r.root for r in components(simhash.links(df)).collect()}
-    groups = plain_groups(prints)
+    monkeypatch.setattr(simhash.keyed, "__defaults__", (distance, run_size))
+    roots = {r.node: r.root for r in components(simhash.links(df, distance)).collect()}
+    groups = plain_groups(prints, distance)
     got = {}
     for i, p in enumerate(signed):
         got.setdefault(roots.get(p, p), set()).add(i)

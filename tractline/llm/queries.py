@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractline.llm import decontamination, language, line_dedup, packing, sharding, simhash, topk, toxicity, warc
+from tractline.llm import decontamination, language, licences, line_dedup, packing, sharding, simhash, topk, toxicity, warc
 from tractline.session import scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,13 @@ def _(spark, folder):
 def _(spark, folder):
     vectors = table(spark, folder, "embeddings")
     return topk.top_products(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
+@query("op2_licences")
+def _(spark, folder):
+    docs = table(spark, folder, "documents")
+    # The documents have no paths: their sources are the top directories, ids make the ones below.
+    steps = [F.col("source"), F.floor(F.col("doc_id") / 256), F.floor(F.col("doc_id") / 16), F.col("doc_id")]
+    path = F.concat_ws("/", *[s.cast("string") for s in steps])
+    found = licences.scan_licences(docs.select("doc_id", path.alias("path"), "text"))
+    return found.drop("text")

@@ -53,16 +53,16 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id`` and ``fingerprint`` (the 64 bits as a signed long) of every row of ``docs``."""
+def fingerprints(docs: DataFrame, words: int = WORDS, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` and ``fingerprint`` (the 64 bits as a signed long) of every row of ``docs``."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = np.array([fingerprint(x.as_py(), words) for x in batch.column(1)], dtype=np.uint64)
-            yield pa.record_batch([batch.column(0), pa.array(bits.view(np.int64))], names=["doc_id", "fingerprint"])
+            bits = np.array([fingerprint(x.as_py(), words) for x in batch.column(len(keep))], dtype=np.uint64)
+            yield pa.record_batch([*batch.columns[:-1], pa.array(bits.view(np.int64))], names=[*keep, "fingerprint"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(scan, f"doc_id {kind}, fingerprint bigint")
+    kinds = [f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep]
+    return docs.select(*keep, "text").mapInArrow(scan, ", ".join([*kinds, "fingerprint bigint"]))
 
 
 def _gray_rank(bits: Column) -> Column:
@@ -197,6 +197,13 @@ def links(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return runs.mapInArrow(search, "a bigint, b bigint")
 
 
+def _rooted(distinct: DataFrame, distance: int) -> DataFrame:
+    """``distinct`` (stored, one row per fingerprint) with ``root``, equal for connected fingerprints."""
+    roots = components(links(distinct, distance)).withColumnRenamed("node", "fingerprint")
+    rooted = distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    return stored(rooted, "simhash-roots")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
     """``doc_id``, ``fingerprint`` (long) and ``component_id`` of every row of ``docs``.
 
@@ -207,10 +214,20 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANC
     """
     prints = stored(fingerprints(docs, words), "simhash-prints")
     distinct = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = components(links(distinct, distance)).withColumnRenamed("node", "fingerprint")
-    rooted = stored(
-        distinct.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint")), "simhash-roots"
-    )
+    rooted = _rooted(distinct, distance)
     smallest = stored(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-groups")
     named = stored(rooted.join(smallest, "root").select("fingerprint", "component_id"), "simhash-named")
     return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: the smallest ``doc_id`` (null last).
+
+    Of rows that repeat that ``doc_id``, one stays. Null, empty and blank texts are one group. All columns stay.
+    """
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-rows")
+    prints = stored(fingerprints(rows, words, ("_row", "doc_id")), "simhash-prints")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
+    distinct = stored(prints.groupBy("fingerprint").agg(F.min(place).alias("first")), "simhash-distinct")
+    kept = _rooted(distinct, distance).groupBy("root").agg(F.min("first").alias("first")).select("first._row")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)

@@ -245,6 +245,15 @@ def score_text(text: str | None, model: list, words: dict[str, float], base: flo
     return 1 - clean if hit else base
 
 
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[list, dict[str, float]]:
+    """The character model of all texts and the word weights."""
+    model = log_model(character_counts(docs))
+    return model, lexicon(docs, labels, model, sample)
+
+
+_BASE = 0.05
+
+
 def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """``doc_id``, ``score`` and ``predicted`` (1 from a score of 0.5 on) of every row of ``docs``.
 
@@ -253,16 +262,30 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     classes no word is known. Repeated rows have equal results. Other columns are not read.
     """
     docs = docs.select("doc_id", "text")
-    model = log_model(character_counts(docs))
-    words = lexicon(docs, labels, model, sample)
+    model, words = fit(docs, labels, sample)
 
-    def scan(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[str, ...]] = {}
         values: dict[str, float] = {}
-        for batch in frames:
-            scores = [score_text(t.as_py(), model, words, 0.05, known, values) for t in batch.column(1)]
+        for batch in batches:
+            scores = [score_text(t.as_py(), model, words, _BASE, known, values) for t in batch.column(1)]
             yield pa.record_batch([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     scored = docs.mapInArrow(scan, f"doc_id {kind}, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """``docs`` without the rows whose text scores 0.5 or more; all columns stay."""
+    model, words = fit(docs, labels, sample)
+    at = docs.columns.index("text")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, tuple[str, ...]] = {}
+        values: dict[str, float] = {}
+        for batch in batches:
+            clean = [score_text(t.as_py(), model, words, _BASE, known, values) < 0.5 for t in batch.column(at)]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(scan, docs.schema)
