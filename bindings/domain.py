@@ -54,7 +54,8 @@ _HOMES = f"""(
                CAST(100 + c_custkey % 900 AS STRING) || ' ' || c_mktsegment || ' ' ||
                CAST(1 + c_custkey % 17 AS STRING) || 'th St' AS street,
                'City ' || CAST(c_nationkey AS STRING) AS city,
-               substr('FLGACAALAKTX', 2 * (c_nationkey % 6) + 1, 2) AS state,
+               CASE c_nationkey % 6 WHEN 0 THEN 'FL' WHEN 1 THEN 'GA' WHEN 2 THEN 'CA' WHEN 3 THEN 'AL' WHEN 4 THEN 'AK'
+                                    ELSE 'TX' END AS state,
                lpad(CAST(c_custkey % 200 AS STRING), 5, '0') AS zip
         FROM customer) homes"""
 
@@ -70,7 +71,7 @@ DERIVED = {
                     ELSE <DATE>CAST(o_orderdate AS DATE)<PLUS>CAST(o_orderkey % 15 AS INT)<END> END AS visit_end_date
         FROM orders""",
     "location": f"""
-        SELECT c_custkey AS location_id, CASE WHEN c_custkey % 3 = 0 THEN 'N/A' ELSE street END AS address_1,
+        SELECT c_custkey AS location_id, CASE WHEN c_custkey % 3 = 0 THEN 'N/A' WHEN c_custkey % 8 = 1 THEN street || ' # 1A' ELSE street END AS address_1,
                CASE WHEN c_custkey % 4 = 0 THEN '#' || CAST(c_custkey % 20 AS STRING) END AS address_2, city, state,
                CASE WHEN c_custkey % 13 = 0 THEN NULL WHEN c_custkey % 6 = 0 THEN zip || '.0' ELSE zip END AS zip,
                CAST(NULL AS STRING) AS county, c_name || ' ' AS location_source_value,
@@ -110,11 +111,13 @@ DERIVED = {
                     WHEN 3 THEN '9' || street
                     WHEN 4 THEN substr(street, 1, 8)
                     WHEN 5 THEN CASE WHEN o_orderkey % 3 = 0 THEN 'n/a' END
+                    WHEN 6 THEN replace(street, 'U', 'O') || CASE WHEN o_orderkey % 2 = 0 THEN ' Apt 204' ELSE ', Unit B' END
                     ELSE street END AS street,
                CASE WHEN o_orderkey % 35 = 5 THEN ' NULL ' ELSE city END AS city,
                CASE WHEN o_orderkey % 35 = 5 THEN NULL ELSE state END AS state,
                CASE WHEN o_orderkey % 35 = 5 THEN 'none' WHEN o_orderkey % 4 = 0 THEN NULL
-                    WHEN o_orderkey % 6 = 1 THEN zip || '.0' ELSE zip END AS zip,
+                    WHEN o_orderkey % 6 = 1 THEN zip || '.0'
+                    WHEN o_orderkey % 10 = 3 AND o_custkey % 200 >= 100 THEN substr(zip, 3, 3) ELSE zip END AS zip,
                CASE WHEN o_orderkey % 19 = 0 THEN 'abc' WHEN o_orderkey % 23 = 0 THEN NULL
                     WHEN o_orderkey % 29 = 0 THEN '2019.5'
                     ELSE CAST(2012 + o_orderkey % 12 AS STRING) || CASE WHEN o_orderkey % 2 = 0 THEN '.0' ELSE '' END

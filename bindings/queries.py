@@ -441,12 +441,12 @@ def _(d):
         "longitude",
         *[f"matched_{c}" for c in ADDRESS_PARTS],
         F.round("score", 9).alias("score"),
-        F.when(F.col("score").isNotNull(), F.col("precision")).alias("precision"),
+        "precision",
     )
 
 
 _SINGLE = "concat_ws(' ', street, city, state, split_part(zip, '.', 1))"
-_ASKED_SINGLE = f"asked_rows AS (SELECT entity_id AS rid, {q.punct(q.title(_SINGLE))} AS address FROM address_multi)"
+_ASKED_SINGLE = f"asked_rows AS (SELECT entity_id AS rid, {q.punct(q.title(q.without_unit(_SINGLE)))} AS address FROM address_multi)"
 
 
 def _single_rows(d: Domain) -> DataFrame:
@@ -472,7 +472,7 @@ def _(d):
         "longitude",
         *[f"matched_{c}" for c in ADDRESS_PARTS],
         F.round("score", 9).alias("score"),
-        F.when(F.col("score").isNotNull(), F.col("precision")).alias("precision"),
+        "precision",
     )
 
 
@@ -873,9 +873,9 @@ def _(d):
         )
         + " FROM location l LEFT JOIN best b ON l.location_id = b.rid",
         f"""asked_rows AS (
-            SELECT location_id AS rid, {q.punct(q.title("coalesce(address_1, '') || ' ' || coalesce(address_2, '') || ' ' || coalesce(city, '') || ' ' || coalesce(state, '') || ' ' || " + q.zip_suffix('zip')))} AS address
+            SELECT location_id AS rid, address_1 AS street, city, state, zip
             FROM location WHERE NOT {q.has_coordinates('latitude', 'longitude')})""",
-        q.match_single("asked_rows"),
+        q.match_multi("asked_rows"),
     ),
 )
 def _(d):

@@ -103,39 +103,42 @@ def fips(tract_id: str) -> str:
     return f"right('00000000000' || {tract_id}, 11)"
 
 
-def _last_two(x: str) -> str:
-    return f"regexp_extract({x}, '([^ ]+ )?[^ ]+$', 0)"
+def _last(x: str, words: int) -> str:
+    return f"regexp_extract({x}, '([^ ]+ ){{0,{words - 1}}}[^ ]+$', 0)"
 
 
-_GENERIC = (
-    "('n', 's', 'e', 'w', 'ne', 'nw', 'se', 'sw', 'north', 'south', 'east', 'west', 'st', 'street', 'ave', 'av', "
-    "'avenue', 'rd', 'road', 'dr', 'drive', 'ln', 'lane', 'blvd', 'boulevard', 'ct', 'court', 'pl', 'place', 'way', "
-    "'ter', 'terrace', 'cir', 'circle', 'hwy', 'highway', 'pkwy', 'parkway', 'sq', 'square', 'trl', 'trail')"
-)
+def without_unit(x: str) -> str:
+    units = "apt|apartment|unit|ste|suite|rm|room|lot|#"
+    name = "([a-z]?[0-9]+[a-z]?|[a-z])(-[a-z0-9]+)?"
+    return f"regexp_replace({x}, '(?i)[\\s,]+({units})[\\s.#]*{name}\\b', ' ', 'g')"
 
 
-def _sounds(x: str) -> str:
-    words = f"string_split({x}, ' ')[2:]"
-    telling = f"list_filter({words}, lambda w: w NOT IN {_GENERIC})"
-    chosen = f"CASE WHEN len({telling}) > 0 THEN {telling} ELSE {words} END"
-    bare = f"list_transform({chosen}, lambda w: coalesce(nullif(regexp_replace(w, '[aeiouyhw]', '', 'g'), ''), w))"
-    return (
-        f"list_concat(list_transform({bare}, lambda c: '<' || c[1:3]), "
-        f"list_transform({bare}, lambda c: '>' || reverse(c)[1:3]))"
-    )
+def street(x: str) -> str:
+    return f"(CASE WHEN {blank(x)} THEN '' ELSE {match_form(without_unit(text(x)))} END)"
+
+
+def _zip5(x: str) -> str:
+    first = f"split_part({x}, ' ', 1)"
+    return f"(CASE WHEN regexp_full_match({first}, '[0-9]{{3,4}}') THEN lpad({first}, 5, '0') ELSE substr({x}, 1, 5) END)"
+
+
+def _number(x: str) -> str:
+    return f"regexp_extract({x}, '^([0-9]+)\\b', 1)"
+
+
+def _numbers(x: str) -> str:
+    return f"regexp_extract_all({x}, '[0-9]+')"
 
 
 # Every address point with the forms that queries are compared with.
 POINTS = f"""
 points AS (
     SELECT point_id, latitude, longitude, street, city, state, zip,
-           {known('street')} AS p_street, {known('city')} AS p_city, {known('state')} AS p_state,
-           substr({known('zip')}, 1, 5) AS p_zip
+           {street('street')} AS p_street, {known('city')} AS p_city, {known('state')} AS p_state,
+           {_zip5(known(f"split_part({text('zip')}, '.', 1)"))} AS p_zip
     FROM address_points),
 points_keyed AS (
-    SELECT *, regexp_extract(p_street, '^([0-9]+)\\b', 1) AS p_number, p_city || ' ' || p_state AS p_place,
-           {_sounds('p_street')} AS p_sounds
-    FROM points)"""
+    SELECT *, {_number('p_street')} AS p_number, p_city || ' ' || p_state AS p_place FROM points)"""
 
 _BEST = """
     SELECT * FROM (
@@ -148,33 +151,29 @@ def match_multi(rows: str) -> str:
     """CTEs ending in ``best(rid, ...)`` for a relation with rid, street, city, state, zip."""
     return f"""{POINTS},
 asked AS (
-    SELECT rid, {known('street')} AS q_street, {known('city')} AS q_city, {known('state')} AS q_state,
-           substr({known(f"split_part({text('zip')}, '.', 1)")}, 1, 5) AS q_zip
+    SELECT rid, {street('street')} AS q_street, {known('city')} AS q_city, {known('state')} AS q_state,
+           {_zip5(known(f"split_part({text('zip')}, '.', 1)"))} AS q_zip
     FROM {rows}),
-asked_keyed AS (
-    SELECT *, regexp_extract(q_street, '^([0-9]+)\\b', 1) AS q_number, q_city || ' ' || q_state AS q_place,
-           {_sounds('q_street')} AS q_sounds
-    FROM asked),
+asked_keyed AS (SELECT *, {_number('q_street')} AS q_number FROM asked),
 scored AS (
     SELECT rid, p.*, 1e0 - levenshtein(q_street, p_street) / greatest(length(q_street), length(p_street)) AS score
     FROM asked_keyed q JOIN points_keyed p
-      ON q_number <> '' AND q_number = p_number AND list_has_any(q_sounds, p_sounds)
+      ON q_number <> '' AND q_number = p_number AND {_numbers('q_street')} = {_numbers('p_street')}
      AND CASE WHEN q_zip <> '' THEN q_zip = p_zip
-              ELSE q_city <> '' AND q_state <> '' AND p_city <> '' AND p_state <> ''
-                   AND {_last_two('q_place')} = {_last_two('p_place')} END),
+              ELSE q_city <> '' AND q_state <> '' AND p_city <> '' AND q_state = p_state
+                   AND {_last('q_city', 1)} = {_last('p_city', 1)} END),
 best AS ({_BEST.format(scored='scored')})"""
 
 
 def match_single(rows: str) -> str:
     """The same for a relation with rid and one composed ``address`` text."""
+    end = "' ([0-9]{3,5})( [0-9]{4})?$'"
     return f"""{POINTS},
 asked AS (
     SELECT rid, {match_form('address')} AS q_all FROM {rows} WHERE address IS NOT NULL),
 asked_keyed AS (
-    SELECT rid, regexp_extract(q_all, ' ([0-9]{{5}})( [0-9]{{4}})?$', 1) AS q_zip,
-           regexp_replace(q_all, ' [0-9]{{5}}( [0-9]{{4}})?$', '') AS q_text,
-           regexp_extract(q_all, '^([0-9]+)\\b', 1) AS q_number,
-           {_sounds("regexp_replace(q_all, ' [0-9]{5}( [0-9]{4})?$', '')")} AS q_sounds
+    SELECT rid, {_zip5(f"regexp_extract(q_all, {end}, 1)")} AS q_zip, regexp_replace(q_all, {end}, '') AS q_text,
+           {_number(f"regexp_replace(q_all, {end}, '')")} AS q_number
     FROM asked),
 pairs AS (
     SELECT rid, p.*,
@@ -182,9 +181,10 @@ pairs AS (
                 THEN left(q_text, length(q_text) - length(p_place) - 1) ELSE q_text END AS a,
            CASE WHEN ends_with(q_text, ' ' || p_place) THEN p_street ELSE p_street || ' ' || p_place END AS b
     FROM asked_keyed q JOIN points_keyed p
-      ON q_number <> '' AND q_number = p_number AND list_has_any(q_sounds, p_sounds)
+      ON q_number <> '' AND q_number = p_number
+     AND {_numbers('q_text')} = {_numbers("p_street || ' ' || p_place")}
      AND CASE WHEN q_zip <> '' THEN q_zip = p_zip
-              ELSE p_city <> '' AND p_state <> '' AND {_last_two('q_text')} = {_last_two('p_place')} END),
+              ELSE p_city <> '' AND p_state <> '' AND {_last('q_text', 2)} = {_last('p_place', 2)} END),
 scored AS (SELECT *, 1e0 - levenshtein(a, b) / greatest(length(a), length(b)) AS score FROM pairs),
 best AS ({_BEST.format(scored='scored')})"""
 

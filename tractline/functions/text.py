@@ -112,3 +112,18 @@ def is_blank_coordinate(c: Column, numeric: bool = False) -> Column:
 def match_form(c: Column) -> Column:
     """Lower-case letters and digits separated by single spaces, for address matching."""
     return F.lower(F.trim(F.regexp_replace(c, "[^a-zA-Z0-9]+", " ")))
+
+
+# Words that announce a unit; its own name is a number with a letter at most, or one letter.
+UNIT = r"(?i)[\s,]+(?:apt|apartment|unit|ste|suite|rm|room|lot|#)[\s.#]*(?:[a-z]?\d+[a-z]?|[a-z])(?:-[a-z0-9]+)?\b"
+
+
+def without_unit(c: Column) -> Column:
+    """An address without its unit: ``100 Oak St Apt 204`` -> ``100 Oak St``."""
+    return F.regexp_replace(c, UNIT, " ")
+
+
+def zip5(c: Column) -> Column:
+    """Five digits of a ZIP in match form; three or four digits have lost their leading zeros."""
+    first = F.substring_index(c, " ", 1)
+    return F.when(first.rlike(r"^\d{3,4}$"), F.lpad(first, 5, "0")).otherwise(F.substring(c, 1, 5))

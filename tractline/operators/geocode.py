@@ -1,11 +1,11 @@
 """Addresses to coordinates: a blocked fuzzy join with the caller's address points.
 
 The rules are ours. An address can only match a point of the same region (ZIP code, or city and
-state where the ZIP is blank) with the same house number whose street name shares a sound with it:
-the consonants that some word begins or ends with. So a candidate list holds the few streets that
-could be meant, however many addresses a region or a house number has. Among the candidates the
-score is one minus the edit distance over the longer length, and scores under the threshold are
-rejected.
+state where the ZIP is blank) whose text begins with the same house number and holds the same
+numbers: another numbered street is no misspelling. Units are left out on both sides. Every pair
+that meets these rules is compared once: the score is one minus the edit distance over the longer
+length, and scores under the threshold are rejected. Nothing else keeps a pair apart, so the
+threshold alone decides what is too far off.
 """
 
 from __future__ import annotations
@@ -13,20 +13,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tractline.functions.text import compose_multi, compose_single, is_blank, match_form, null_to_blank, zip_before_dot
+from tractline.functions.text import (
+    compose_multi,
+    compose_single,
+    is_blank,
+    match_form,
+    null_to_blank,
+    without_unit,
+    zip5,
+    zip_before_dot,
+)
 from tractline.schemas import ADDRESS_PARTS, ADDRESS_POINTS, require
 from tractline.session import computed_once
 
 DEFAULT_THRESHOLD = 0.7
-# Words that say nothing about which street is meant.
-GENERIC_WORDS = (
-    "n", "s", "e", "w", "ne", "nw", "se", "sw", "north", "south", "east", "west",
-    "st", "street", "ave", "av", "avenue", "rd", "road", "dr", "drive", "ln", "lane", "blvd", "boulevard",
-    "ct", "court", "pl", "place", "way", "ter", "terrace", "cir", "circle", "hwy", "highway",
-    "pkwy", "parkway", "sq", "square", "trl", "trail",
-)
-_SILENT = "aeiouyhw"
-_SOUND_LENGTH = 3
 _ANSWER = (
     "latitude",
     "longitude",
@@ -44,134 +44,101 @@ def _known(part: Column) -> Column:
     return F.when(is_blank(part), "").otherwise(match_form(null_to_blank(part)))
 
 
-def _zip5(zip_code: Column) -> Column:
-    return F.substring(_known(zip_before_dot(zip_code)), 1, 5)
-
+def _street(part: Column) -> Column:
+    return F.when(is_blank(part), "").otherwise(match_form(without_unit(null_to_blank(part))))
 
-def _house_number(text: Column) -> Column:
-    return F.regexp_extract(text, r"^(\d+)\b", 1)
 
+def _zip5(zip_code: Column) -> Column:
+    return zip5(_known(zip_before_dot(zip_code)))
 
-def _sounds(text: Column) -> Column:
-    """The first and last consonants of each telling word after the house number.
 
-    A text of generic words only keeps them all. A word without consonants stands for itself.
-    """
-    words = F.slice(F.split(text, " "), F.lit(2), F.greatest(F.size(F.split(text, " ")) - 1, F.lit(0)))
-    telling = F.filter(words, lambda w: ~w.isin(*GENERIC_WORDS))
-    chosen = F.when(F.size(telling) > 0, telling).otherwise(words)
-    consonants = F.transform(
-        chosen, lambda w: F.coalesce(F.nullif(F.translate(w, _SILENT, ""), F.lit("")), w)
-    )
-    ends = F.transform(
-        consonants,
-        lambda c: F.array(
-            F.concat(F.lit("<"), F.substring(c, 1, _SOUND_LENGTH)),
-            F.concat(F.lit(">"), F.substring(F.reverse(c), 1, _SOUND_LENGTH)),
-        ),
-    )
-    return F.array_distinct(F.flatten(ends))
+def _numbers(text: Column) -> Column:
+    """The numbers of a text that begins with a house number, else NULL."""
+    return F.when(text.rlike(r"^\d+\b"), F.array_join(F.regexp_extract_all(text, F.lit(r"(\d+)")), " "))
 
 
-def _last_words(text: Column, n: int) -> Column:
-    return F.substring_index(text, " ", -n)
+def _zip_region(zip_code: Column) -> Column:
+    return F.concat(F.lit("z:"), zip_code)
 
 
-def _zip_region(zip5: Column) -> Column:
-    return F.concat(F.lit("z:"), zip5)
+def _city_region(city: Column, state: Column) -> Column:
+    # A single address column does not mark where the city begins, so only its last word counts.
+    return F.concat(F.lit("c:"), F.substring_index(city, " ", -1), F.lit(" "), state)
 
 
-def _city_region(city_state: Column) -> Column:
-    # City names have any number of words and a single address column does not mark where the
-    # city begins, so the last city word and the state are what both shapes can agree on.
-    return F.concat(F.lit("c:"), _last_words(city_state, 2))
+def _tail_region(text: Column) -> Column:
+    """What a text without separate columns ends with: its last two words."""
+    return F.concat(F.lit("t:"), F.substring_index(text, " ", -2))
 
 
 def query_keys(asked: DataFrame, n_columns: int) -> DataFrame:
-    """Region, house number, sound and comparison texts of raw addresses in ``_k0``, ``_k1``, ...
+    """Region, numbers and comparison texts of raw addresses in ``_k0``, ``_k1``, ...
 
-    Four columns are street, city, state and ZIP, one is a whole address. There is a row per sound
-    of the address; addresses with nothing to look up by have none. Each step is named before it
-    is used more than once.
+    Four columns are street, city, state and ZIP, one is a whole address. Addresses with nothing to
+    look up by have no row. Each step is named before it is used more than once.
     """
     if n_columns == 1:
-        staged = asked.withColumn("_whole", match_form(compose_single(F.col("_k0")))).withColumns(
+        zip_end = r" (\d{3,5})( \d{4})?$"
+        staged = asked.withColumn("_whole", match_form(compose_single(without_unit(F.col("_k0"))))).withColumns(
             {
-                "_zip": F.regexp_extract("_whole", r" (\d{5})( \d{4})?$", 1),
-                "_text": F.regexp_replace("_whole", r" \d{5}( \d{4})?$", ""),
+                "_zip": zip5(F.regexp_extract("_whole", zip_end, 1)),
+                "_text": F.regexp_replace("_whole", zip_end, ""),
                 "_street": F.lit(""),
             }
         )
-        city_state, has_city, numbered = F.col("_text"), F.lit(True), F.col("_text")
+        place, numbered = _tail_region(F.col("_text")), F.col("_text")
     else:
         street, city, state, zip_code = (F.col(f"_k{i}") for i in range(4))
         staged = asked.withColumns(
             {
-                "_street": _known(street),
+                "_street": _street(street),
                 "_city": _known(city),
                 "_state": _known(state),
                 "_zip": _zip5(zip_code),
                 "_text": F.lit(""),
             }
         )
-        city_state, numbered = F.concat_ws(" ", "_city", "_state"), F.col("_street")
         has_city = (F.col("_city") != "") & (F.col("_state") != "")
-    region = F.when(F.col("_zip") != "", _zip_region(F.col("_zip"))).when(has_city, _city_region(city_state))
+        place, numbered = F.when(has_city, _city_region(F.col("_city"), F.col("_state"))), F.col("_street")
     keys = {
-        "_region": region,
-        "_number": _house_number(numbered),
+        "_region": F.when(F.col("_zip") != "", _zip_region(F.col("_zip"))).otherwise(place),
+        "_numbers": _numbers(numbered),
         "_text": F.col("_text"),
         "_street": F.col("_street"),
-        "_sounds": _sounds(numbered),
     }
     return (
         computed_once(staged, keys)
-        .where(F.col("_region").isNotNull() & (F.col("_number") != ""))
-        .select(*asked.columns, "_region", "_number", "_text", "_street", F.explode("_sounds").alias("_sound"))
+        .where(F.col("_region").isNotNull() & F.col("_numbers").isNotNull())
+        .select(*asked.columns, "_region", "_numbers", "_text", "_street")
     )
 
 
-def _point_keys(points: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Each address point under both of its regions and all of its sounds.
+def _point_keys(points: DataFrame, n_columns: int, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Each address point under both of its regions.
 
     Copies of a point keep the smallest id. ``carry`` names further point columns to keep.
     """
     require(points.columns, ADDRESS_POINTS.names, "address points")
-    keyed = (
-        points.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-        .withColumns(
-            {
-                "_p_street": _known(F.col("street")),
-                "_city": _known(F.col("city")),
-                "_state": _known(F.col("state")),
-                "_zip": _zip5(F.col("zip")),
-            }
-        )
-        .withColumns(
-            {
-                "_number": _house_number(F.col("_p_street")),
-                "_p_tail": F.concat_ws(" ", F.lit(""), "_city", "_state"),
-                "_regions": F.array_compact(
-                    F.array(
-                        F.when(F.col("_zip") != "", _zip_region(F.col("_zip"))),
-                        F.when(
-                            (F.col("_city") != "") & (F.col("_state") != ""),
-                            _city_region(F.concat_ws(" ", "_city", "_state")),
-                        ),
-                    )
-                ),
-            }
-        )
+    keyed = points.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).withColumns(
+        {
+            "_p_street": _street(F.col("street")),
+            "_city": _known(F.col("city")),
+            "_state": _known(F.col("state")),
+            "_zip": _zip5(F.col("zip")),
+        }
     )
+    keyed = keyed.withColumn("_p_tail", F.concat_ws(" ", F.lit(""), "_city", "_state"))
+    if n_columns == 1:
+        numbers, place = _numbers(F.concat("_p_street", "_p_tail")), _tail_region(F.trim("_p_tail"))
+    else:
+        numbers, place = _numbers(F.col("_p_street")), _city_region(F.col("_city"), F.col("_state"))
+    has_city = (F.col("_city") != "") & (F.col("_state") != "")
+    regions = F.array(F.when(F.col("_zip") != "", _zip_region(F.col("_zip"))), F.when(has_city, place))
+    keyed = computed_once(keyed, {"_numbers": numbers, "_regions": F.array_compact(regions)})
     return (
-        keyed.withColumn("_region", F.explode(F.when(F.col("_number") != "", F.col("_regions"))))
-        .groupBy("_region", "_number", "_p_street", "_p_tail")
-        .agg(
-            F.min(
-                F.struct("point_id", "latitude", "longitude", *ADDRESS_PARTS, *carry)
-            ).alias("_point")
-        )
-        .withColumn("_sound", F.explode(_sounds(F.col("_p_street"))))
+        keyed.withColumn("_region", F.explode(F.when(F.col("_numbers").isNotNull(), F.col("_regions"))))
+        .groupBy("_region", "_numbers", "_p_street", "_p_tail")
+        .agg(F.min(F.struct("point_id", "latitude", "longitude", *ADDRESS_PARTS, *carry)).alias("_point"))
     )
 
 
@@ -226,7 +193,7 @@ def geocode(
     spread = F.when(asks, 0).otherwise(1 + F.pmod(F.xxhash64(*given), F.lit(1024)).cast("int"))
 
     pairs = query_keys(rows.where(asks).select(*names).distinct(), len(columns)).join(
-        _point_keys(address_points, carry), ["_region", "_number", "_sound"]
+        _point_keys(address_points, len(columns), carry), ["_region", "_numbers"]
     )
     rank = F.struct(F.col("score"), -F.col("_point.point_id"))
     best = (

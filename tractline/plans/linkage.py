@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tractline.functions.status import geocode_result, hospital_form_multi, hospital_form_single, reason
-from tractline.functions.text import compose_location, compose_single, zip_strip_suffix
+from tractline.functions.text import compose_single, zip_strip_suffix
 from tractline.functions.values import (
     drop_work_columns,
     long_coordinate_names,
@@ -130,18 +130,15 @@ def refresh_location(
 ) -> DataFrame:
     """LOCATION with coordinates looked up for the rows that have none, row by row.
 
-    The looked-up address is all of address_1, address_2, city, state and ZIP.
+    Looked up are address_1, city, state and ZIP, as in :func:`link_locations`: a unit does not help.
     """
     require(location.columns, LOCATION_COLUMNS, "LOCATION")
-    parts = [F.col(c) for c in ("address_1", "address_2", "city", "state")]
-    address = compose_location(*parts, zip_strip_suffix(F.col("zip")))
     rows = (
         trim_text(location)
         .withColumn("_needed", needs_geocoding())
-        .withColumn("address", address)
         .withColumnsRenamed({"latitude": "given_latitude", "longitude": "given_longitude"})
     )
-    placed = geocode(rows, address_points, ("address",), threshold, F.col("_needed"))
+    placed = geocode(rows, address_points, LOCATION_PARTS, threshold, F.col("_needed"))
 
     def chosen(name: str):
         given = number_in(rows, f"given_{name}")
