@@ -24,9 +24,9 @@ def words_of(line: Column) -> Column:
     return F.filter(F.split(line, SPACE), lambda w: w != "")
 
 
-def _code(position: Column, words: Column) -> Column:
+def _code(position: Column, line_hash: Column) -> Column:
     """A line of a document by its place and words."""
-    return F.xxhash64(position.cast("bigint"), words)
+    return F.xxhash64(position.cast("bigint"), line_hash)
 
 
 def _halves(words: Column, n: Column) -> Column:
@@ -52,7 +52,7 @@ def distinct_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     first = lines.groupBy(F.xxhash64("words").alias("h1"), F.hash("words").alias("h2"), "n").agg(
         F.min(place).alias("place"), F.first(_halves(F.col("words"), F.col("n"))).alias("halves")
     )
-    return first.select("n", "place", "halves", F.monotonically_increasing_id().alias("line_id"))
+    return first.select("n", "h1", "place", "halves", F.monotonically_increasing_id().alias("line_id"))
 
 
 def _with_partner(lines: DataFrame) -> DataFrame:
@@ -128,20 +128,18 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     lines = stored(distinct_lines(docs, min_words), "lines-distinct")
     candidates = stored(_texts(docs, _with_partner(lines)), "lines-texts")
     dropped = near_duplicates(candidates)
-    kept = lines.select("line_id", "place", F.element_at("halves", 1).alias("half")).join(dropped, "line_id", "left_anti")
-    kept = kept.groupBy(F.col("place.doc_id").alias("_doc")).agg(F.collect_list(F.struct("place.pos", "half")).alias("_kept"))
-
-    codes = F.transform("_kept", lambda k: F.xxhash64(k.pos.cast("bigint"), k.half))
-    held = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").withColumn("_codes", codes)
-    held = held.withColumn("_all", F.split("text", "\n"))
-
-    def stays(line: Column, at: Column) -> Column:
-        words = words_of(line)
-        n = F.size(words)
-        code = F.xxhash64(at.cast("bigint"), F.element_at(_halves(words, n), 1))
-        return (n < min_words) | F.coalesce(F.array_contains("_codes", code), F.lit(False))
-
-    held = held.withColumn("_left", F.filter("_all", stays))
+    kept = lines.select("line_id", "place", "h1").join(dropped, "line_id", "left_anti")
+    codes = F.collect_list(_code(F.col("place.pos"), F.col("h1"))).alias("_kept")
+    kept = kept.groupBy(F.col("place.doc_id").alias("_doc")).agg(codes)
+    held = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").withColumn("_all", F.split("text", "\n"))
+    # One pass splits the words; functions of an array's elements do not share work.
+    split = F.transform("_all", words_of)
+    short = F.lit(None).cast("bigint")
+    held = held.withColumn("_words", split).withColumn(
+        "_codes", F.transform("_words", lambda w, i: F.when(F.size(w) < min_words, short).otherwise(_code(i, F.xxhash64(w))))
+    )
+    stay = lambda _, i: F.coalesce(F.array_contains("_kept", F.get("_codes", i)), F.get("_codes", i).isNull())
+    held = held.withColumn("_left", F.filter("_all", stay))
     removed = F.coalesce(F.size("_all") - F.size("_left"), F.lit(0))
     text = F.when(F.col("text").isNotNull(), F.array_join("_left", "\n"))
     return held.select(*[text.alias("text") if c == "text" else c for c in docs.columns], removed.alias("lines_removed"))
