@@ -516,6 +516,13 @@ def _(d):
     return hospitals.flag_hospitals(d["address_multi"], form, d["hospitals"]).select("entity_id", "at_hospital")
 
 
+@query("j7_hospital_flag_shuffled", ORACLES["j7_hospital_flag"])
+def _(d):
+    form = status.hospital_form_multi(*[F.col(c) for c in ADDRESS_PARTS])
+    flagged = hospitals.flag_hospitals(d["address_multi"], form, d["hospitals"], broadcast_bytes=0)
+    return flagged.select("entity_id", "at_hospital")
+
+
 # --- reductions, set operations, order -------------------------------------------------------
 
 
@@ -646,6 +653,11 @@ def _(d):
     return exposure.join_by_geocode(_places(d), d["variable_value"], VARIABLES)
 
 
+@query("x1_exposure_by_fips_shuffled", ORACLES["x1_exposure_by_fips"])
+def _(d):
+    return exposure.join_by_geocode(_places(d), d["variable_value"], VARIABLES, broadcast_bytes=0)
+
+
 @query(
     "x1_exposure_latest_year",
     over(
@@ -716,6 +728,14 @@ def _(d):
     return rows.select("entity_id", "FIPS", "county", "state", "zcta")
 
 
+@query("x4_rollup_geocode_shuffled", ORACLES["x4_rollup_geocode"])
+def _(d):
+    rows = exposure.roll_up(_places(d), "county", geocode="county")
+    rows = exposure.roll_up(rows, "state", geocode="state")
+    rows = exposure.roll_up(rows, "zcta", crosswalk=d["crosswalk"], geocode="zcta", broadcast_bytes=0)
+    return rows.select("entity_id", "FIPS", "county", "state", "zcta")
+
+
 @query(
     "x5_output_check",
     over(
@@ -937,8 +957,8 @@ def _linked_visits(d: Domain) -> DataFrame:
 _CSV_TEXT = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
 
 
-def _no_marker(column: str) -> str:
-    return f"CASE WHEN {column} NOT IN {q.MARKERS} THEN {column} END AS {column}"
+def _no_marker(column: str, name: str | None = None) -> str:
+    return f"CASE WHEN {column} NOT IN {q.MARKERS} THEN {column} END AS {name or column}"
 
 
 def _csv_inputs(d: Domain) -> str:
@@ -954,17 +974,39 @@ def _csv_inputs(d: Domain) -> str:
     return folder
 
 
+_SHAPE_COLUMNS = ("entity_id", "year", "latitude", "longitude", *ADDRESS_PARTS, "address")
+
+
+def _shape_rows(shape: str, relation: str, present: tuple[str, ...]) -> str:
+    columns = [
+        _no_marker(f"CAST({c} AS VARCHAR)", c) if c in present else f"CAST(NULL AS VARCHAR) AS {c}" for c in _SHAPE_COLUMNS
+    ]
+    return f"SELECT '{shape}' AS shape, {', '.join(columns)}, '.csv' AS file_suffix FROM {relation}"
+
+
 @query(
     "src_csv_folder",
     over(
-        "coordinates",
-        f"SELECT CAST(entity_id AS VARCHAR) AS entity_id, CAST(year AS VARCHAR) AS year, {_no_marker('latitude')}, "
-        f"{_no_marker('longitude')} FROM coordinates",
+        "coordinates address_multi",
+        _shape_rows("coordinates", "coordinates", ("entity_id", "year", "latitude", "longitude"))
+        + " UNION ALL "
+        + _shape_rows("multi", "address_multi", ("entity_id", "year", *ADDRESS_PARTS))
+        + " UNION ALL "
+        + _shape_rows("single", f"(SELECT entity_id, year, {_SINGLE} AS address FROM address_multi)", ("entity_id", "year", "address")),
     ),
 )
 def _(d):
     scan = csv_folder.scan_folder(d.spark, _csv_inputs(d))
-    return scan.frames[csv_folder.COORDINATES].drop("source_file")
+    suffix = F.regexp_extract("source_file", r"\.[^.]*$", 0)
+    shapes = [
+        df.select(
+            F.lit(shape).alias("shape"),
+            *[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in _SHAPE_COLUMNS],
+            suffix.alias("file_suffix"),
+        )
+        for shape, df in scan.frames.items()
+    ]
+    return locations.union_vintages(*shapes)
 
 
 @query(
@@ -1054,14 +1096,14 @@ def _(d):
 # --- sinks -----------------------------------------------------------------------------------
 
 
-def _typed(df: DataFrame) -> DataFrame:
-    """Values of a written result back in the types they were written from."""
+def _typed(df: DataFrame, *texts: str) -> DataFrame:
+    """Values of a written result back in the types they were written from; ``texts`` were texts."""
     types = {
         "entity_id": "bigint", "year": "int", "latitude": "double", "longitude": "double", "reason": "string",
         "location_id": "bigint", "person_id": "bigint", "visit_occurrence_id": "bigint", "visit_start_date": "date",
         "start_date": "date", "end_date": "date", "relationship_type_concept_id": "int", "domain_id": "int",
     }
-    df = df.withColumns({c: F.col(c).cast(types[c]) for c in df.columns if c in types})
+    df = df.withColumns({c: F.col(c).cast(types[c]) for c in df.columns if c in types and c not in texts})
     return df.fillna({"reason": ""}) if "reason" in df.columns else df
 
 
@@ -1069,23 +1111,31 @@ def _typed(df: DataFrame) -> DataFrame:
     "sink_with_coordinates",
     over(
         _ADDRESS_TABLES,
-        "SELECT entity_id, year, latitude, longitude, geocode_result, reason FROM placed",
+        "SELECT entity_id, year, latitude, longitude, geocode_result, reason, "
+        "'file_' || entity_id % 7 || '.csv' AS source_file FROM placed",
         _placed_sql(single=False),
     ),
 )
 def _(d):
     folder = _scratch(d, "with-coordinates")
-    rows = linkage.geocode_addresses(d["address_multi"], d["address_points"], d["hospitals"])
+    rows = linkage.geocode_addresses(_from_files(d["address_multi"]), d["address_points"], d["hospitals"])
     files.write_with_coordinates(rows, folder)
     return _typed(_read_back(d, folder))
 
 
-@query("sink_with_fips", _linked_addresses_sql(single=False))
+def _from_files(df: DataFrame) -> DataFrame:
+    """Rows as if read from seven files."""
+    return df.withColumn("source_file", F.concat(F.lit("file_"), F.col("entity_id") % 7, F.lit(".csv")))
+
+
+@query(
+    "sink_with_fips",
+    f"SELECT *, 'file_' || entity_id % 7 || '.csv' AS source_file FROM ({_linked_addresses_sql(single=False)})",
+)
 def _(d):
     folder = _scratch(d, "with-fips")
-    files.write_with_fips(
-        linkage.link_addresses(d["address_multi"], d["address_points"], d.tracts, d["hospitals"]), folder
-    )
+    rows = _from_files(d["address_multi"])
+    files.write_with_fips(linkage.link_addresses(rows, d["address_points"], d.tracts, d["hospitals"]), folder)
     return _typed(_read_back(d, folder))
 
 
@@ -1111,34 +1161,35 @@ def _(d):
     return _typed(_read_back(d, folder))
 
 
-_BATCH_COLUMNS = ("person_id", "visit_occurrence_id", "visit_start_date", "year", "location_id", "address_1", "city")
+_WRITTEN_VISIT = (
+    "person_id, visit_occurrence_id, visit_start_date, year, location_id, "
+    + ", ".join(f"nullif({c}, '') AS {c}" for c in LOCATION_COLUMNS[1:])
+)
 
 
 @query(
     "sink_category_batches",
     over(
         _VISIT_TABLES,
-        f"SELECT {', '.join(_BATCH_COLUMNS)}, {_CATEGORY} AS category FROM visit_rows",
+        f"SELECT {_WRITTEN_VISIT}, {_CATEGORY} AS category FROM visit_rows",
         _visit_rows(),
     ),
 )
 def _(d):
     folder = _scratch(d, "batches")
-    rows = visits.classify(_located_visits(d)).select(*_BATCH_COLUMNS, "category")
-    files.write_category_batches(rows, folder, batch_rows=500)
-    return _typed(_read_back(d, folder))
+    files.write_category_batches(visits.classify(_located_visits(d)), folder, batch_rows=500)
+    return _typed(_read_back(d, folder), "latitude", "longitude")
 
 
 @query(
     "sink_invalid",
     over(
         _VISIT_TABLES,
-        f"SELECT {', '.join(_BATCH_COLUMNS)} FROM visit_rows WHERE {_CATEGORY} = 'Invalid'",
+        f"SELECT {_WRITTEN_VISIT} FROM visit_rows WHERE {_CATEGORY} = 'Invalid'",
         _visit_rows(),
     ),
 )
 def _(d):
     folder = _scratch(d, "invalid")
-    rows = visits.classify(_located_visits(d)).select(*_BATCH_COLUMNS, "category")
-    files.write_invalid(rows, folder)
-    return _typed(_read_back(d, folder))
+    files.write_invalid(visits.classify(_located_visits(d)), folder)
+    return _typed(_read_back(d, folder), "latitude", "longitude")

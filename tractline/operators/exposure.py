@@ -18,9 +18,10 @@ from pyspark.sql.window import Window
 
 from tractline.functions.values import in_range, number_in
 from tractline.operators.tracts import TractIndex, assign_tracts, with_fips
-from tractline.session import BROADCAST_BYTES, broadcast_within
+from tractline.session import BROADCAST_BYTES, broadcast_within, spread_unless
 
 LEVELS = ("tract", "county", "state", "zcta")
+_LISTED = 200
 
 
 def select_variables(
@@ -31,11 +32,16 @@ def select_variables(
 ) -> DataFrame:
     """Values of the given variables and of variables from the given data sources.
 
-    Both lists narrow the result; None means no limit. The lists are the caller's arguments, so
-    they become scan filters; the index is joined only when sources are named.
+    Both lists narrow the result; None means no limit. A short list becomes a scan filter, a long one
+    a table to join with; the index is joined only when sources are named.
     """
     if variable_ids is not None:
-        values = values.where(F.col("variable_id").isin(*variable_ids))
+        ids = sorted(set(variable_ids))
+        if len(ids) <= _LISTED:
+            values = values.where(F.col("variable_id").isin(*ids))
+        else:
+            listed = values.sparkSession.createDataFrame([(i,) for i in ids], "variable_id bigint")
+            values = values.join(F.broadcast(listed), "variable_id", "left_semi").select(*values.columns)
     if source_ids is not None:
         if index is None:
             raise ValueError("source_ids needs the variable index")
@@ -45,7 +51,12 @@ def select_variables(
 
 
 def roll_up(
-    df: DataFrame, level: str, fips: str = "FIPS", crosswalk: DataFrame | None = None, geocode: str = "geocode"
+    df: DataFrame,
+    level: str,
+    fips: str = "FIPS",
+    crosswalk: DataFrame | None = None,
+    geocode: str = "geocode",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Add ``geocode``: the code of ``level`` that the row's tract belongs to.
 
@@ -59,8 +70,10 @@ def roll_up(
             raise ValueError("zcta needs a crosswalk")
         rank = F.struct(-F.col("weight"), F.col("zcta"))
         main = crosswalk.groupBy(F.col("FIPS").alias("_fips")).agg(F.min_by("zcta", rank).alias(geocode))
-        joined = df.join(broadcast_within(main), F.col(fips) == F.col("_fips"), "left")
-        return joined.drop("_fips")
+        main = broadcast_within(main.where("_fips is not null").withColumn("_one", F.lit(0)), broadcast_bytes)
+        rows = df.withColumn("_spread", spread_unless(F.col(fips).isNotNull(), df))
+        same = (F.col(fips) == F.col("_fips")) & (F.col("_spread") == F.col("_one"))
+        return rows.join(main, same, "left").drop("_fips", "_spread", "_one")
     length = {"tract": 11, "county": 5, "state": 2}[level]
     return df.withColumn(geocode, F.substring(fips, 1, length))
 
@@ -101,7 +114,7 @@ def join_by_geocode(
 
     The values are made wide first, so the join adds at most one row per input row and its key is
     unique on one side: a place that holds very many of the rows only needs its partition split,
-    which adaptive execution does. ``year_rule`` "exact" takes the row's own year, "latest" the
+    which adaptive execution does. Rows without a place are spread by a hash. ``year_rule`` "exact" takes the row's own year, "latest" the
     newest value not after it. Years past ``last_year`` (this year by default) look up
     ``last_year``, so the expansion is bounded and no row is lost.
     """
@@ -114,10 +127,10 @@ def join_by_geocode(
         wide = wide_values(values, variables, last_year)
     else:
         wide = wide_values(values, variables)
-    wide = wide.withColumnsRenamed({"geocode": "_geocode", "year": "_year"})
-    return rows.join(
-        broadcast_within(wide, broadcast_bytes), (F.col(geocode) == F.col("_geocode")) & (key == F.col("_year")), "left"
-    ).drop("_geocode", "_year")
+    wide = wide.withColumnsRenamed({"geocode": "_geocode", "year": "_year"}).withColumn("_one", F.lit(0))
+    spread = rows.withColumn("_spread", spread_unless(F.col(geocode).isNotNull() & key.isNotNull(), rows))
+    same = (F.col(geocode) == F.col("_geocode")) & (key == F.col("_year")) & (F.col("_spread") == F.col("_one"))
+    return spread.join(broadcast_within(wide, broadcast_bytes), same, "left").drop("_geocode", "_year", "_spread", "_one")
 
 
 def join_spatially(

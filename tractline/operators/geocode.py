@@ -24,7 +24,7 @@ from tractline.functions.text import (
     zip_before_dot,
 )
 from tractline.schemas import ADDRESS_PARTS, ADDRESS_POINTS, require
-from tractline.session import computed_once
+from tractline.session import computed_once, spread_unless
 
 DEFAULT_THRESHOLD = 0.7
 _ANSWER = (
@@ -190,7 +190,7 @@ def geocode(
     asks = F.concat(*names) != ""
     if needed is not None:
         asks = asks & F.coalesce(needed, F.lit(False))
-    spread = F.when(asks, 0).otherwise(1 + F.pmod(F.xxhash64(*given), F.lit(1024)).cast("int"))
+    spread = spread_unless(asks, df.select(*given))
 
     pairs = query_keys(rows.where(asks).select(*names).distinct(), len(columns)).join(
         _point_keys(address_points, len(columns), carry), ["_region", "_numbers"]

@@ -8,14 +8,16 @@ edges of the same ring column. Where tracts overlap the smallest tract code wins
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tractline.functions.values import format_fips, in_range, number_in
-from tractline.schemas import TRACTS, require
-from tractline.session import computed_once
+from tractline.schemas import TRACTS, VINTAGES, require
+from tractline.session import computed_once, spread_unless
+
+CODES = tuple(f"FIPS_{vintage}" for vintage in VINTAGES)
 
 # A cell is 2**-level degrees wide. A power of two makes "which cell" and "where does the cell
 # start" exact in floating point, so no point near a cell border can look in the wrong cell.
@@ -68,6 +70,19 @@ def _bounds(ring: Column) -> Column:
     )
 
 
+def _parts(tracts: DataFrame) -> DataFrame:
+    """Polygons with parts on both sides of the 180th meridian as one row per side.
+
+    Their common box would be as wide as the earth. No edge may cross from one side to the other.
+    """
+    west = F.filter("ring", lambda e: F.greatest(e["x1"], e["x2"]) <= 0)
+    east = F.filter("ring", lambda e: F.least(e["x1"], e["x2"]) > 0)
+    wide = (_bounds(F.col("ring"))["x1"] - _bounds(F.col("ring"))["x0"]) > 180
+    apart = wide & (F.size(west) + F.size(east) == F.size("ring"))
+    others = [c for c in tracts.columns if c != "ring"]
+    return tracts.select(*others, F.explode(F.when(apart, F.array(west, east)).otherwise(F.array("ring"))).alias("ring"))
+
+
 def _cell(coordinate: Column, level: int) -> Column:
     return F.floor(coordinate * float(2**level)).cast("int")
 
@@ -85,7 +100,7 @@ def tract_cells(tracts: DataFrame, level: int) -> DataFrame:
     size = 2.0**-level
     margin = size / 1024
     strips = (
-        tracts.select(*TRACTS.names)
+        _parts(tracts.select(*TRACTS.names))
         .withColumn("_b", _bounds(F.col("ring")))
         .withColumn("cell_y", F.explode(F.sequence(_cell(F.col("_b.y0"), level), _cell(F.col("_b.y1"), level))))
         .withColumn("_bottom", F.col("cell_y") * size)
@@ -128,16 +143,28 @@ def tract_cells(tracts: DataFrame, level: int) -> DataFrame:
 class TractIndex:
     """A cell table with its level. Build once, use for many inputs.
 
-    ``cells`` can be written to a table and read back. ``broadcastable`` comes from an upper bound
-    of the table's size that was computed from the polygons, not from an estimate.
+    ``broadcastable`` comes from an upper bound of the table's size that was computed from the polygons,
+    not from an estimate. :meth:`save` and :meth:`load` keep an index for later jobs, so that polygons
+    are cut once.
     """
 
     cells: DataFrame
     level: int
     broadcastable: bool
 
-    def of_vintage(self, vintage: int) -> TractIndex:
-        return replace(self, cells=self.cells.where(F.col("vintage") == vintage))
+    def save(self, folder: str) -> TractIndex:
+        """Write the index; the result reads it from there."""
+        spark = self.cells.sparkSession
+        self.cells.write.parquet(f"{folder}/cells")
+        spark.createDataFrame([(self.level, self.broadcastable)], "level int, broadcastable boolean").write.parquet(
+            f"{folder}/facts"
+        )
+        return TractIndex.load(spark, folder)
+
+    @staticmethod
+    def load(spark: SparkSession, folder: str) -> TractIndex:
+        facts = spark.read.parquet(f"{folder}/facts").first()
+        return TractIndex(spark.read.parquet(f"{folder}/cells"), facts.level, facts.broadcastable)
 
 
 def build_tract_index(
@@ -149,7 +176,7 @@ def build_tract_index(
     simple shapes make few cells and detailed ones leave few edges in each.
     """
     require(tracts.columns, TRACTS.names, "tracts")
-    polygons = tracts.select("ring", _bounds(F.col("ring")).alias("b"))
+    polygons = _parts(tracts.select("ring")).select("ring", _bounds(F.col("ring")).alias("b"))
     if level is None:
         width, height, edges = polygons.agg(
             F.avg(F.col("b.x1") - F.col("b.x0")), F.avg(F.col("b.y1") - F.col("b.y0")), F.avg(F.size("ring"))
@@ -242,14 +269,49 @@ def _by_shuffle(rows: DataFrame, index: TractIndex) -> DataFrame:
         .withColumn("_spread", F.lit(0))
     )
     # Rows without a point match nothing; spreading them keeps them out of one partition.
-    spread = F.when(F.col("_x").isNull(), F.pmod(F.xxhash64(*rows.columns), F.lit(1024))).otherwise(0)
     return (
-        rows.withColumn("_spread", spread.cast("int"))
+        rows.withColumn("_spread", spread_unless(F.col("_x").isNotNull(), rows))
         .join(answers, ["_v", "_x", "_y", "_spread"], "left")
         .select(*rows.columns, "_hit.tract_id", "_hit.block_group_id")
     )
 
 
+def assign_codes(
+    df: DataFrame, tracts: DataFrame | TractIndex, latitude: str = "latitude", longitude: str = "longitude"
+) -> DataFrame:
+    """Add the tract code of each vintage, ``FIPS_2010`` and ``FIPS_2020``, to rows with coordinates.
+
+    Both vintages come from one pass over the cells, and each distinct point is looked up once.
+    """
+    index = tracts if isinstance(tracts, TractIndex) else build_tract_index(tracts)
+    usable = in_range(F.col("_lat"), F.col("_lon"))
+    parsed = df.withColumns({"_lat": number_in(df, latitude), "_lon": number_in(df, longitude)})
+    point = {"_x": F.when(usable, F.col("_lon")), "_y": F.when(usable, F.col("_lat"))}
+    rows = computed_once(parsed, point).drop("_lat", "_lon")
+    cell = {"_cx": _cell(F.col("_x"), index.level), "_cy": _cell(F.col("_y"), index.level)}
+    cells = index.cells.withColumnsRenamed({"cell_x": "_cx", "cell_y": "_cy"})
+    kept = [c for c in df.columns if c not in CODES]
+    if index.broadcastable:
+        held = F.array_sort(F.collect_list(F.struct("tract_id", "vintage", "whole", "ring")))
+        per_cell = cells.groupBy("_cx", "_cy").agg(held.alias("_candidates"))
+
+        def first(vintage: int) -> Column:
+            def holds(c: Column) -> Column:
+                return (c["vintage"] == vintage) & (c["whole"] | inside_ring(c["ring"], F.col("_x"), F.col("_y")))
+
+            return format_fips(F.get(F.filter("_candidates", holds), F.lit(0))["tract_id"])
+
+        joined = rows.withColumns(cell).join(F.broadcast(per_cell), ["_cx", "_cy"], "left")
+        return joined.select(*kept, *[first(v).alias(c) for v, c in zip(VINTAGES, CODES)])
+    points = rows.select("_x", "_y").where("_x is not null").distinct().withColumns(cell)
+    hits = points.join(cells, ["_cx", "_cy"]).where(F.col("whole") | inside_ring(F.col("ring"), F.col("_x"), F.col("_y")))
+    least = [F.min(F.when(F.col("vintage") == v, F.col("tract_id"))) for v in VINTAGES]
+    answers = hits.groupBy("_x", "_y").agg(*[format_fips(m).alias(c) for m, c in zip(least, CODES)])
+    spread = rows.select(*kept, "_x", "_y").withColumn("_spread", spread_unless(F.col("_x").isNotNull(), rows))
+    found = spread.join(answers.withColumn("_spread", F.lit(0)), ["_x", "_y", "_spread"], "left")
+    return found.select(*kept, *CODES)
+
+
 def with_fips(df: DataFrame) -> DataFrame:
     """``FIPS`` from ``tract_id``; the tract and block-group columns are dropped."""
     return df.withColumn("FIPS", format_fips(F.col("tract_id"))).drop("tract_id", "block_group_id")

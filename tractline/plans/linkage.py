@@ -1,4 +1,8 @@
-"""The end-to-end jobs, each one lazy plan over the operators."""
+"""The end-to-end jobs as plans over the operators.
+
+Building a plan runs small jobs where a choice needs a measured fact: the shape of the tracts, unless a
+``TractIndex`` is given, the mean stay and the size of the caller's hospital list.
+"""
 
 from __future__ import annotations
 
@@ -18,13 +22,12 @@ from tractline.operators.geocode import DEFAULT_THRESHOLD, geocode
 from tractline.operators.hospitals import flag_hospitals
 from tractline.operators.locations import needs_geocoding, trim_text
 from tractline.operators.summaries import supported_vintages
-from tractline.operators.tracts import TractIndex, assign_tracts, build_tract_index, with_fips
+from tractline.operators.tracts import CODES, TractIndex, assign_codes, assign_tracts, with_fips
 from tractline.operators.visits import DEFAULT_CUTOFF, classify, visits_in_residence
 from tractline.schemas import ADDRESS, ADDRESS_PARTS, LATLONG, LOCATION_COLUMNS, VINTAGES, ContractError, require
 
 # LOCATION's street, city, state and ZIP. The unit in address_2 does not help matching.
 LOCATION_PARTS = ("address_1", "city", "state", "zip")
-_CODES = tuple(f"FIPS_{vintage}" for vintage in VINTAGES)
 
 
 def _with_vintage(df: DataFrame, pivot: int) -> DataFrame:
@@ -37,23 +40,9 @@ def _with_tracts(df: DataFrame, tracts: DataFrame | TractIndex) -> DataFrame:
     return with_fips(assign_tracts(df, tracts)).drop("year_for_fips")
 
 
-def with_codes(df: DataFrame, tracts: DataFrame | TractIndex) -> DataFrame:
-    """Add the tract code of every vintage, ``FIPS_2010`` and ``FIPS_2020``, to rows with coordinates.
-
-    Used on places (address points, locations), which are far fewer than the rows that refer to
-    them; those only pick a code by year.
-    """
-    index = tracts if isinstance(tracts, TractIndex) else build_tract_index(tracts)
-    for vintage, code in zip(VINTAGES, _CODES):
-        own = index.of_vintage(vintage)
-        df = with_fips(assign_tracts(df.withColumn("_vintage", F.lit(vintage)), own, vintage="_vintage"))
-        df = df.withColumnRenamed("FIPS", code).drop("_vintage")
-    return df
-
-
 def _code_of(vintage: Column) -> Column:
     """The code of the row's own vintage."""
-    return F.when(vintage == VINTAGES[0], F.col(_CODES[0])).otherwise(F.col(_CODES[1]))
+    return F.when(vintage == VINTAGES[0], F.col(CODES[0])).otherwise(F.col(CODES[1]))
 
 
 def link_coordinates(df: DataFrame, tracts: DataFrame | TractIndex, pivot: int = 2020) -> DataFrame:
@@ -79,12 +68,8 @@ def geocode_addresses(
     hospitals: DataFrame | None = None,
     threshold: float = DEFAULT_THRESHOLD,
     drop_address_parts: bool = True,
-    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Address rows with ``latitude``, ``longitude``, ``geocode_result`` and ``reason``.
-
-    ``carry`` names further columns of the points that the rows should receive.
-    """
+    """Address rows with ``latitude``, ``longitude``, ``geocode_result`` and ``reason``."""
     single = "address" in df.columns
     columns = ("address",) if single else ADDRESS_PARTS
     require(df.columns, columns, "addresses")
@@ -92,7 +77,7 @@ def geocode_addresses(
         df = df.withColumn("zip", zip_strip_suffix(F.col("zip")))
     if "year" in df.columns:
         df = df.withColumn("year", year_in(df, "year"))
-    placed = geocode(df, address_points, columns, threshold, carry=carry)
+    placed = geocode(df, address_points, columns, threshold)
     result = geocode_result(F.col("latitude"), F.col("longitude"), numeric=True)
     if single:
         form, parts = hospital_form_single(compose_single(F.col("address"))), ()
@@ -116,13 +101,11 @@ def link_addresses(
 ) -> DataFrame:
     """Address rows to rows with coordinates, result, reason and ``FIPS``.
 
-    Coordinates come from the address points only, so tracts are looked up per point, once, and
-    carried through the match.
+    Addresses are matched first, so tracts are looked up for the points that were matched and for no
+    others: without any shuffle where the index is broadcast, else once per distinct point.
     """
-    points = with_codes(address_points, tracts)
-    placed = geocode_addresses(df, points, hospitals, threshold, drop_address_parts, carry=_CODES)
-    coded = _with_vintage(placed, pivot).withColumn("FIPS", _code_of(F.col("year_for_fips")))
-    return coded.drop("year_for_fips", *_CODES)
+    placed = geocode_addresses(df, address_points, hospitals, threshold, drop_address_parts)
+    return _with_tracts(_with_vintage(placed, pivot), tracts)
 
 
 def refresh_location(
@@ -163,32 +146,23 @@ def link_locations(
     NULL otherwise. Everything a visit needs to know about its place is worked out here, once per location.
     """
     require(location.columns, LOCATION_COLUMNS, "LOCATION")
-    index = tracts if isinstance(tracts, TractIndex) else build_tract_index(tracts)
     rows = classify(location.withColumn("zip", zip_strip_suffix(F.col("zip"))), numeric)
     # Elsewhere a zero stands for a missing coordinate and must not be read as a place.
-    usable = {c: F.when(F.col("category") == LATLONG, number_in(rows, c)) for c in ("latitude", "longitude")}
-    given = with_codes(rows.withColumns(usable), index)
-    found = ("latitude", "longitude", *_CODES)
-    if address_points is None:
-        placed = given
-    else:
-        placed = geocode(
-            given.withColumnsRenamed({c: f"given_{c}" for c in found}),
-            with_codes(address_points, index),
-            LOCATION_PARTS,
-            threshold,
-            F.col("category") == ADDRESS,
-            carry=_CODES,
-        ).withColumns(
-            {c: F.when(F.col("category") == ADDRESS, F.col(c)).otherwise(F.col(f"given_{c}")) for c in found}
-        )
+    names = ("latitude", "longitude")
+    given = rows.withColumns({c: F.when(F.col("category") == LATLONG, number_in(rows, c)) for c in names})
+    if address_points is not None:
+        known = given.withColumnsRenamed({c: f"given_{c}" for c in names})
+        looked_up = F.col("category") == ADDRESS
+        found = geocode(known, address_points, LOCATION_PARTS, threshold, looked_up)
+        given = found.withColumns({c: F.when(looked_up, F.col(c)).otherwise(F.col(f"given_{c}")) for c in names})
+    placed = assign_codes(given, tracts)
     parts = [F.col(c) for c in LOCATION_PARTS]
     placed = (
         flag_hospitals(placed, hospital_form_multi(*parts), hospitals, "_at_hospital")
         .withColumn("geocode_result", geocode_result(F.col("latitude"), F.col("longitude"), numeric=True))
         .withColumn("reason", reason(F.col("geocode_result"), F.col("_at_hospital"), *parts))
     )
-    return placed.select(*LOCATION_COLUMNS, "category", "geocode_result", "reason", *_CODES)
+    return placed.select(*LOCATION_COLUMNS, "category", "geocode_result", "reason", *CODES)
 
 
 def link_visits(
@@ -212,8 +186,8 @@ def link_visits(
     Rows of category ``Invalid`` and ``Unclassified`` stay, with no code.
     """
     places = link_locations(location, address_points, tracts, hospitals, threshold, numeric)
-    carried = ("category", "geocode_result", "reason", *_CODES)
+    carried = ("category", "geocode_result", "reason", *CODES)
     visits = visits_in_residence(
         person, visit, places, history, cutoff=cutoff, open_ended=open_ended, carry=carried
     )
-    return visits.withColumn("FIPS", _code_of(vintage_of(F.col("year"), pivot))).drop(*_CODES)
+    return visits.withColumn("FIPS", _code_of(vintage_of(F.col("year"), pivot))).drop(*CODES)

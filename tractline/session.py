@@ -43,7 +43,8 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tractline-")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
@@ -58,11 +59,15 @@ def broadcast_within(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFra
 
     Rows are counted and text lengths added up, so neither many rows nor long texts slip through.
     Above the limit the join stays a shuffled one: a table that outgrows it costs time and never
-    memory. Tables with nested columns are not measured and so never hinted.
+    memory. The table is worked out once, into the scratch folder, and both measured and joined from
+    there. Tables with nested columns are not measured and so never hinted.
     """
     fields = df.schema.fields
     if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)) for f in fields):
         return df
+    folder = scratch_folder(df.sparkSession, "measured")
+    df.write.parquet(folder)
+    df = df.sparkSession.read.schema(df.schema).parquet(folder)
     texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in fields if isinstance(f.dataType, T.StringType)]
     length = reduce(lambda a, b: a + b, texts, F.lit(0).cast("bigint"))
     rows, characters = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(length), F.lit(0))).first()
@@ -70,6 +75,17 @@ def broadcast_within(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFra
     return F.broadcast(df) if measured <= max_bytes else df
 
 
+def spread_unless(known: Column, df: DataFrame) -> Column:
+    """0 where ``known`` is true, else a number that differs from row to row.
+
+    As a further join key it keeps rows that cannot match anything out of one partition. Columns that
+    hold maps cannot be hashed and are left out.
+    """
+    hashed = [c for c, kind in df.dtypes if "map<" not in kind]
+    other = 1 + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(1 << 20))
+    return F.when(known, 0).otherwise(other).cast("int")
+
+
 def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """Add costly columns that later filters and joins use, without their being computed again.
 

@@ -12,6 +12,7 @@ from tractline.operators.locations import build_location
 from tractline.schemas import INVALID
 
 BATCH_ROWS = 100_000
+FILE_ROWS = 5_000_000
 # The writer would otherwise trim every field.
 _CSV = {
     "header": True,
@@ -32,10 +33,16 @@ def check_target(path: str, input_path: str | None) -> None:
 
 
 def _write(df: DataFrame, path: str, input_path: str | None, mode: str) -> None:
-    """One folder per source file when the rows carry ``source_file``."""
+    """One folder per source file when the rows carry ``source_file``.
+
+    Rows are brought together by source file first, so each gets a few files and not one per task;
+    the rebalancing splits a source file that holds very many rows.
+    """
     check_target(path, input_path)
-    writer = df.write.partitionBy("source_file") if "source_file" in df.columns else df.write
-    writer.csv(path, mode=mode, **_CSV)
+    writer = df.write
+    if "source_file" in df.columns:
+        writer = df.hint("rebalance", "source_file").write.partitionBy("source_file")
+    writer.option("maxRecordsPerFile", FILE_ROWS).csv(path, mode=mode, **_CSV)
 
 
 def result_table(df: DataFrame) -> DataFrame:
@@ -69,16 +76,17 @@ def write_category_batches(
     input_path: str | None = None,
     mode: str = "errorifexists",
     batch_rows: int = BATCH_ROWS,
+    partitions: int | None = None,
 ) -> None:
     """One folder per category, in files of at most ``batch_rows`` rows ordered by person and start.
 
     The range partitioning includes the visit id, so a person with very many visits is spread over
-    several ranges.
+    several ranges. ``partitions`` overrides the session's number of ranges.
     """
     check_target(path, input_path)
     order = ["person_id", "visit_start_date", "visit_occurrence_id"]
     (
-        df.repartitionByRange(*order)
+        df.repartitionByRange(*([partitions] if partitions else []), *order)
         .sortWithinPartitions("category", *order)
         .write.partitionBy("category")
         .option("maxRecordsPerFile", batch_rows)

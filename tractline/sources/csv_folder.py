@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import csv
 import posixpath
+import re
 from collections import defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -93,16 +95,29 @@ def list_csv_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(s.getPath().toString() for s in found)
 
 
-def read_header(spark: SparkSession, file: str) -> list[str]:
-    """The header line of one file: a metadata read of a few bytes, like listing the folder."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(file)
-    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
-    try:
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-    finally:
-        stream.close()
-    return next(csv.reader([(line or "").removeprefix("\ufeff")]), [])
+def _plain(path: str) -> str:
+    """A file's path in one spelling, as listings and row metadata differ in theirs."""
+    return re.sub("^([a-z]+):/+(?=/)", r"\1:", unquote(path))
+
+
+def read_headers(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
+    """The header line of every file, from one Spark job over the beginnings of the files.
+
+    Only the distinct lines come to the driver, each with the paths that have it. A file without any
+    line has an empty header.
+    """
+    if not files:
+        return {}
+    lines = spark.read.text(files).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
+    )
+    numbered = lines.where("start = 0").withColumn("at", F.monotonically_increasing_id())
+    first = numbered.groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    known: dict[str, list[str]] = {}
+    for row in first.groupBy("line").agg(F.collect_list("path").alias("paths")).collect():
+        header = next(csv.reader([row.line.removeprefix("\ufeff")]), [])
+        known |= dict.fromkeys(map(_plain, row.paths), header)
+    return {file: known.get(_plain(file), []) for file in files}
 
 
 def read_csv_files(spark: SparkSession, files: list[str], multi_line: bool = False) -> DataFrame:
@@ -127,8 +142,7 @@ def scan_files(spark: SparkSession, files: list[str], multi_line: bool = False)
     """
     scan = FolderScan()
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
-    for file in files:
-        header = read_header(spark, file)
+    for file, header in read_headers(spark, files).items():
         try:
             shape = detect_shape(file, normalize_names(header))
             # The two clinical tables are checked on the header as it is written.
