@@ -12,7 +12,7 @@ from bindings.domain import CUTOFF, VISIT_PIVOT, Domain
 from tractline.functions import status, text, values
 from tractline.operators import exposure, hospitals, locations, summaries, tracts, visits
 from tractline.operators.geocode import address_text, geocode
-from tractline.plans import linkage
+from tractline.plans import jobs, linkage
 from tractline.schemas import ADDRESS_PARTS, LOCATION_COLUMNS, LOCATION_HISTORY_COLUMNS
 from tractline.session import scratch_folder
 from tractline.sinks import files
@@ -1086,10 +1086,11 @@ def _(d):
     """The batch form: the manifest lists what an earlier run read."""
     folder = _scratch(d, "inbox")
     d["coordinates"].where("year < 2018").write.csv(folder, mode="append", **_CSV_TEXT)
-    done = incremental.files_to_do(d.spark, folder, d.spark.createDataFrame([], "file_name string"))
-    manifest = d.spark.createDataFrame(done.select("file_name").collect(), "file_name string")
+    manifest = _scratch(d, "manifest")
+    nothing = d.spark.createDataFrame([], "file_name string")
+    incremental.record_files(incremental.files_to_do(d.spark, folder, nothing), manifest)
     d["coordinates"].where("year >= 2018").write.csv(folder, mode="append", **_CSV_TEXT)
-    new = [r.path for r in incremental.files_to_do(d.spark, folder, manifest).collect()]
+    new = [r.path for r in incremental.files_to_do(d.spark, folder, d.spark.read.parquet(manifest)).collect()]
     return csv_folder.scan_files(d.spark, new).frames[csv_folder.COORDINATES].drop("source_file")
 
 
@@ -1193,3 +1194,45 @@ def _(d):
     folder = _scratch(d, "invalid")
     files.write_invalid(visits.classify(_located_visits(d)), folder)
     return _typed(_read_back(d, folder), "latitude", "longitude")
+
+
+# --- whole jobs ------------------------------------------------------------------------------
+
+_CODED = "entity_id, year, latitude, longitude, FIPS"
+
+
+@query(
+    "run_folder",
+    f"SELECT 'multi' AS shape, {_CODED} FROM ({_linked_addresses_sql(single=False)}) UNION ALL "
+    f"SELECT 'single', {_CODED} FROM ({_linked_addresses_sql(single=True)}) UNION ALL "
+    f"SELECT 'coordinates', entity_id, CAST(year AS INTEGER), {q.number('latitude')}, {q.number('longitude')}, FIPS "
+    f"FROM ({ORACLES['link_coordinates']})",
+)
+def _(d):
+    output = _scratch(d, "folder-results")
+    jobs.run_folder(d.spark, _csv_inputs(d), output, d["address_points"], d.tracts, d["hospitals"])
+    shapes = []
+    for shape in (csv_folder.MULTI, csv_folder.SINGLE, csv_folder.COORDINATES):
+        rows = _read_back(d, f"{output}/with_fips/{shape}")
+        types = {"entity_id": "bigint", "year": "int", "latitude": "double", "longitude": "double", "FIPS": "string"}
+        shapes.append(rows.select(F.lit(shape).alias("shape"), *[F.col(c).try_cast(t).alias(c) for c, t in types.items()]))
+    return locations.union_vintages(*shapes)
+
+
+@query(
+    "run_cdm",
+    "SELECT person_id, visit_occurrence_id, visit_start_date, year, location_id, "
+    + ", ".join(_no_marker(c) for c in LOCATION_COLUMNS[1:10])
+    + f", latitude, longitude, category, geocode_result, reason, FIPS FROM ({ORACLES['link_visits']})",
+)
+def _(d):
+    """The clinical tables as CSV files with dates as month, day and year."""
+    folder, output = _scratch(d, "cdm-csv"), _scratch(d, "cdm-results")
+    sources = {"PERSON": "person", "VISIT_OCCURRENCE": "visit", "LOCATION": "location", "LOCATION_HISTORY": "location_history"}
+    for name, source in sources.items():
+        df = d[source]
+        dates = {c: F.date_format(c, "MM/dd/yyyy") for c, kind in df.dtypes if kind == "date"}
+        df.withColumns(dates).write.csv(f"{folder}/{name}.csv", **_CSV_TEXT)
+    cdm = tables.read_csv_tables(d.spark, folder)
+    jobs.run_cdm(cdm, output, d.tracts, d["address_points"], d["hospitals"], cutoff=CUTOFF, pivot=VISIT_PIVOT)
+    return _typed(_read_back(d, f"{output}/with_fips"))

@@ -85,13 +85,16 @@ def missing_to_null(c: Column) -> Column:
     return F.when(~c.isin(*MISSING_MARKERS), c)
 
 
-def list_csv_files(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of the ``*.csv`` files directly in ``folder`` (suffix in lower case), by name."""
+def list_csv_files(spark: SparkSession, folder: str, parts: bool = False) -> list[str]:
+    """Paths of the ``*.csv`` files directly in ``folder`` (suffix in lower case), by name.
+
+    ``parts`` also takes folders of that suffix, in which a writer left one file in parts.
+    """
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path) or not fs.getFileStatus(path).isDirectory():
         raise FileNotFoundError(f"not a folder: {folder}")
-    found = [s for s in fs.listStatus(path) if s.isFile() and s.getPath().getName().endswith(".csv")]
+    found = [s for s in fs.listStatus(path) if (parts or s.isFile()) and s.getPath().getName().endswith(".csv")]
     return sorted(s.getPath().toString() for s in found)
 
 

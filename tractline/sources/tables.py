@@ -1,18 +1,22 @@
-"""Clinical tables from a database or from parquet."""
+"""Clinical tables from a database, from parquet or from CSV files."""
 
 from __future__ import annotations
 
+import posixpath
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tractline.functions.values import parse_date
 from tractline.schemas import (
     LOCATION_COLUMNS,
     LOCATION_HISTORY_COLUMNS,
     PERSON_COLUMNS,
     VISIT_COLUMNS,
+    ContractError,
     require,
 )
+from tractline.sources.csv_folder import list_csv_files, read_csv_files
 
 # The four tables, their required columns and the column each is split by.
 CDM_TABLES = {
@@ -38,7 +42,9 @@ def _checked(frames: dict[str, DataFrame]) -> CdmTables:
         df = df.toDF(*[c.lower() for c in df.columns])
         columns, _ = CDM_TABLES[name]
         require(df.columns, columns, name.upper())
-        ready[name] = df.withColumns({c: df[c].cast("date") for c in columns if c.endswith("_date")})
+        dates = [c for c in columns if c.endswith("_date")]
+        texts = {c for c, kind in df.dtypes if kind == "string"}
+        ready[name] = df.withColumns({c: parse_date(df[c]) if c in texts else df[c].cast("date") for c in dates})
     return CdmTables(ready["person"], ready["visit_occurrence"], ready["location"], ready["location_history"])
 
 
@@ -47,6 +53,24 @@ def read_parquet_tables(spark: SparkSession, folder: str) -> CdmTables:
     return _checked({name: spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet") for name in CDM_TABLES})
 
 
+def read_csv_tables(spark: SparkSession, folder: str, multi_line: bool = False) -> CdmTables:
+    """The four tables from ``<table>.csv`` files (or folders of parts) in ``folder``, names in any case, by header.
+
+    Ids become numbers (NULL where they are none) and dates are ISO or ``MM/dd/yyyy``.
+    """
+    found = {posixpath.basename(f).lower().removesuffix(".csv"): f for f in list_csv_files(spark, folder, parts=True)}
+    missing = [name for name in CDM_TABLES if name not in found]
+    if missing:
+        raise ContractError(f"files are missing for: {missing}")
+    frames = {}
+    for name, (columns, _) in CDM_TABLES.items():
+        df = read_csv_files(spark, [found[name]], multi_line).drop("source_file")
+        require(df.columns, columns, name.upper())
+        ids = [c for c in columns if c.endswith("_id") and c != "country_concept_id"]
+        frames[name] = df.withColumns({c: df[c].try_cast("bigint") for c in ids})
+    return _checked(frames)
+
+
 def read_database_tables(
     spark: SparkSession,
     url: str,

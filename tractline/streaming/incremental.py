@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractline.sources.csv_folder import FolderScan, list_csv_files, scan_files
+from tractline.sources.csv_folder import FolderScan, scan_files
 
 FILES_PER_BATCH = 1000
 # The columns of Spark's binary file source. Only the path is read.
@@ -72,8 +72,24 @@ def append_new_files(
     run_new_files(spark, folder, checkpoint, handle, files_per_batch)
 
 
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """``path``, ``file_name``, ``modified`` and ``length`` of the CSV files directly in ``folder``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
+    name = F.substring_index("path", "/", -1)
+    return files.select("path", name.alias("file_name"), F.col("modificationTime").alias("modified"), "length")
+
+
 def files_to_do(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
-    """Files in ``folder`` whose name is not in the ``file_name`` column of ``manifest``."""
-    listed = [(path, path.rsplit("/", 1)[-1]) for path in list_csv_files(spark, folder)]
-    files = spark.createDataFrame(listed, "path string, file_name string")
-    return files.join(manifest.select("file_name").where(F.col("file_name").isNotNull()), "file_name", "left_anti")
+    """Files in ``folder`` that ``manifest`` does not have.
+
+    A manifest with ``modified`` and ``length``, as :func:`record_files` writes it, also lets a replaced file
+    through; one with ``file_name`` only goes by the name.
+    """
+    keys = ["file_name", *[c for c in ("modified", "length") if c in manifest.columns]]
+    done = manifest.select(*keys).where(F.col("file_name").isNotNull())
+    return list_files(spark, folder).join(done, keys, "left_anti")
+
+
+def record_files(files: DataFrame, manifest: str) -> None:
+    """Append ``files``, as :func:`files_to_do` gave them, to the parquet table ``manifest`` after they were worked on."""
+    files.write.mode("append").parquet(manifest)
