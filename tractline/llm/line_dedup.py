@@ -123,7 +123,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     matter. Lines of fewer than ``min_words`` words stay. Rows are never dropped: a text may become empty.
     A null text stays null and removes 0 lines. Rows with the same ``doc_id`` count as one document, whose
     lines at the same place are never earlier than each other, so repeated rows keep the same lines. Other
-    columns pass through.
+    columns pass through, but for one called ``lines_removed``.
     """
     lines = stored(distinct_lines(docs, min_words), "lines-distinct")
     candidates = stored(_texts(docs, _with_partner(lines)), "lines-texts")
@@ -142,7 +142,8 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     held = held.withColumn("_left", F.filter("_all", stay))
     removed = F.coalesce(F.size("_all") - F.size("_left"), F.lit(0))
     text = F.when(F.col("text").isNotNull(), F.array_join("_left", "\n"))
-    return held.select(*[text.alias("text") if c == "text" else c for c in docs.columns], removed.alias("lines_removed"))
+    kept_columns = [c for c in docs.columns if c != "lines_removed"]
+    return held.select(*[text.alias("text") if c == "text" else c for c in kept_columns], removed.alias("lines_removed"))
 
 
 SQL = r"""
