@@ -1,0 +1,74 @@
+import gzip
+
+import pytest
+
+from tractline.llm import warc
+
+SCHEMA = "page_id bigint, url string, html string, digest string, type int"
+
+
+def archive(spark, tmp_path, rows, **more):
+    df = spark.createDataFrame([(i, u, h, "x", 1) for i, u, h in rows], SCHEMA)
+    warc.write_archives(df, str(tmp_path / "warc"), **more)
+    return warc.read_pages(warc.read_records(spark, str(tmp_path / "warc")))
+
+
+def test_round_trip_with_segments_and_hostile_payloads(spark, tmp_path):
+    hostile = "WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 5\r\n\r\nabcde\r\n\r\n0\r\n\r\n"
+    payloads = {1: "plain", 2: "", 3: hostile * 3, 4: "é日本𝄞" * 3000, 5: "x" * 16_384, 6: "\n" * 9000, 7: hostile * 2000}
+    rows = [(i, f"http://h/{i}", p) for i, p in payloads.items()] + [(8, None, None), (9, "u\r\nX: y", "z")]
+    got = {int(r.page_id): r for r in archive(spark, tmp_path, rows, segment_bytes=1000).collect()}
+    assert {i: bytes(r.payload).decode() for i, r in got.items()} == payloads | {8: "", 9: "z"}
+    assert all(r.whole and r.type == "response" for r in got.values()) and got[8].url is None and got[9].url == "u X: y"
+    raw = b"".join(gzip.decompress(p.read_bytes()) for p in (tmp_path / "warc").glob("*.gz"))
+    records = list(warc.parse(raw))
+    assert sum(r["type"] == "continuation" for r in records) > 50
+    assert max(len(r["block"]) for r in records) <= 1000
+    # Cut into records by their lengths alone, the archives have nothing between them but two line ends.
+    at = 0
+    while at < len(raw):
+        head = raw.index(b"\r\n\r\n", at)
+        length = int(raw[at:head].split(b"Content-Length: ")[1].split(b"\r\n")[0])
+        assert raw[at:].startswith(b"WARC/1.1\r\n") and raw[head + 4 + length :].startswith(b"\r\n\r\n")
+        at = head + 4 + length + 4
+
+
+def test_revisits(spark, tmp_path):
+    long, short = "a" * 1000, "b" * 999
+    rows = [(1, "u", long), (5, "v", long), (3, "w", long), (2, "u", short), (4, "u", short), (None, "n", long)]
+    got = sorted(map(tuple, warc.page_digests(archive(spark, tmp_path, rows)).collect()), key=str)
+    kinds = {(r[0], r[3], r[4], r[1]) for r in got}
+    assert kinds == {
+        (1, "revisit", 5, 1000), (3, "revisit", 5, 1000), (5, "response", None, 1000),
+        (2, "response", None, 999), (4, "response", None, 999), (None, "response", None, 1000),
+    }
+    assert len({r[2] for r in got if r[1] == 1000}) == 1
+
+
+def test_repeated_rows_are_archived_once_and_no_rows(spark, tmp_path):
+    assert archive(spark, tmp_path / "a", [(1, "u", "same")] * 3 + [(1, "u", "other")]).count() == 2
+    assert archive(spark, tmp_path / "b", []).count() == 0
+
+
+@pytest.mark.parametrize("fault", ["missing", "order", "total", "digest"])
+def test_faults_are_noticed(spark, fault):
+    records = [dict(r) for part in warc.records_of(1, "u", b"y" * 5000, "00" * 20 if fault == "digest" else __import__("hashlib").sha1(b"y" * 5000).hexdigest(), None, 1000) for r in warc.parse(part)]
+    if fault == "missing":
+        records = [r for r in records if r["segment"] != 3]
+    elif fault == "order":
+        records = records[::-1]
+    elif fault == "total":
+        records[-1]["total"] += 1
+    df = spark.createDataFrame([tuple(r[k] for k in ("type", "record_id", "url", "page_id", "digest", "refers_to", "segment", "origin", "total", "block")) for r in records], warc._PARSED)
+    (row,) = warc.read_pages(df).collect()
+    assert row.whole == (fault == "order") and (row.payload is not None) == (fault == "order")
+
+
+def test_foreign_archives(spark, tmp_path):
+    block = b"HTTP/1.1 200 OK\r\n\r\nbody"
+    record = b"WARC/1.0\r\nwarc-type: response\r\nWARC-Record-ID: <x>\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (len(block), block)
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes(info + record)
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(info) + gzip.compress(record))
+    rows = warc.read_pages(warc.read_records(spark, str(tmp_path))).collect()
+    assert [bytes(r.payload) for r in rows] == [b"body"] * 2
