@@ -8,7 +8,6 @@ the greatest difference if the language does not list it.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +27,12 @@ _UNKNOWN = "und"
 _BITS = 18
 
 
-@cache
-def _is_letter() -> np.ndarray:
-    return np.fromiter((c < 1 << _BITS and chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
-
-
 def _letters(text: str) -> np.ndarray:
     """Code points of lower-case letters; 0 stands for anything between words."""
     codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.int64)
-    return np.concatenate([[0], np.where(_is_letter()[codes], codes, 0), [0]])
+    distinct, at = np.unique(codes, return_inverse=True)
+    kept = np.array([c if c < 1 << _BITS and chr(c).isalpha() else 0 for c in distinct.tolist()], dtype=np.int64)
+    return np.concatenate([[0], kept[at], [0]]) if len(codes) else np.zeros(2, np.int64)
 
 
 def grams(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
