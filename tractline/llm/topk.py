@@ -8,6 +8,7 @@ those that give it enough vectors, then only those whose bound reaches the lowes
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,14 +21,15 @@ from tractline.llm.common import stored
 
 TOP = 20
 SCALE = 64.0
-#: Pivots are drawn from this many vectors, the ones of least hash; every vector is then indexed.
+#: At most so many pivots, drawn from so many vectors, the ones of least hash; every vector is then indexed.
 PIVOTS, PIVOT_SAMPLE = 64, 2048
-#: Distances of a pivot fall into so many annuli, so there are at most pivots x annuli of them.
+#: A pivot's distances fall into at most so many annuli; all annuli are known to the driver.
 ANNULI = 16
-BLOCK, QUERY_BLOCK = 1024, 256
+#: Vectors of a block on average, and queries that are compared with a block at once.
+BLOCK, QUERY_BLOCK = 512, 128
 #: In the first round a query opens annuli until they hold so many times the wanted vectors.
 _FIRST = 4
-_SUMMARY = ("pivot", "ring", "near", "far", "least", "most", "n")
+_SUMMARY = ("pivot", "ring", "near", "far", "most", "n")
 
 
 def usable(vectors: DataFrame, scale: float = SCALE) -> DataFrame:
@@ -74,36 +76,27 @@ def keyed(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
     return vectors.mapInArrow(scan, "vec_id bigint, x array<double>, pivot int, distance double, norm double")
 
 
-def _annuli(index: DataFrame) -> DataFrame:
-    """``index`` with ``ring``: each pivot's distances cut into equal widths."""
+def _annuli(index: DataFrame, rings: int) -> DataFrame:
+    """``index`` with ``ring``: each pivot's distances cut into ``rings`` equal widths."""
     widest = index.groupBy("pivot").agg(F.max("distance").alias("widest"))
-    ring = F.least(F.floor(F.col("distance") / F.greatest("widest", F.lit(1e-9)) * ANNULI), F.lit(ANNULI - 1))
+    ring = F.least(F.floor(F.col("distance") / F.greatest("widest", F.lit(1e-9)) * rings), F.lit(rings - 1))
     return index.join(F.broadcast(widest), "pivot").withColumn("ring", ring.cast("int")).drop("widest")
 
 
-def _blocks(index: DataFrame) -> DataFrame:
-    """Rows of up to ``BLOCK`` vectors of one annulus: ``pivot``, ``ring``, ``block``, ``ids`` and the matrix."""
+def _packed(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """One row per ``keys`` with ``ids``, ``floors`` and ``matrix``; keys hold a bounded number of vectors."""
+    held = F.sort_array(F.collect_list(F.struct("vec_id", "floor", "x"))).alias("held")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            frame = batch.select(["pivot", "ring"]).to_pandas()
-            for (pivot, ring), at in frame.groupby(["pivot", "ring"]).indices.items():
-                for start in range(0, len(at), BLOCK):
-                    part = batch.take(pa.array(at[start : start + BLOCK]))
-                    x = _matrix(part.column(3))
-                    yield pa.record_batch(
-                        [
-                            pa.array([pivot], pa.int32()),
-                            pa.array([ring], pa.int32()),
-                            pa.array([part.column(2).to_pylist()], pa.list_(pa.int64())),
-                            pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()),
-                        ],
-                        names=["pivot", "ring", "ids", "matrix"],
-                    )
-
-    rows = index.select("pivot", "ring", "vec_id", "x").sortWithinPartitions("pivot", "ring")
-    blocks = rows.mapInArrow(cut, "pivot int, ring int, ids array<bigint>, matrix binary")
-    return blocks.withColumn("block", F.monotonically_increasing_id())
+            matrices = [_matrix(row.values.field("x")).tobytes() for row in batch.column(len(keys))]
+            lists = [[row.values.field(f).to_pylist() for row in batch.column(len(keys))] for f in ("vec_id", "floor")]
+            columns = [*batch.columns[:-1], *[pa.array(v, pa.list_(pa.int64())) for v in lists], pa.array(matrices, pa.binary())]
+            yield pa.record_batch(columns, names=[*keys, "ids", "floors", "matrix"])
+
+    kinds = ", ".join(f"{k} {rows.schema[k].dataType.simpleString()}" for k in keys)
+    grouped = rows.groupBy(*keys).agg(held)
+    return grouped.mapInArrow(pack, f"{kinds}, ids array<bigint>, floors array<bigint>, matrix binary")
 
 
 def _bounds(queries: np.ndarray, pivots: np.ndarray, annuli: pd.DataFrame) -> np.ndarray:
@@ -140,7 +133,7 @@ def _products(pairs: DataFrame, top: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                q_ids, floors, q, ids, x = (batch.column(i)[row] for i in range(5))
+                q_ids, floors, q, ids, x = (batch.column(i)[row] for i in range(5))  # one block of each
                 q_ids, ids = np.asarray(q_ids.values), np.asarray(ids.values)
                 floors = np.asarray(floors.values)
                 q = np.frombuffer(q.as_buffer(), dtype=np.float64).reshape(len(q_ids), -1)
@@ -157,8 +150,9 @@ def _products(pairs: DataFrame, top: int) -> DataFrame:
                     names=["query_id", "vec_id", "score"],
                 )
 
-    columns = ["query_ids", "floors", "queries", "ids", "matrix"]
-    return pairs.select(columns).mapInArrow(run, "query_id bigint, vec_id bigint, score bigint")
+    return pairs.select("query_ids", "floors", "queries", "ids", "matrix").mapInArrow(
+        run, "query_id bigint, vec_id bigint, score bigint"
+    )
 
 
 _NONE = np.iinfo(np.int64).min
@@ -192,61 +186,59 @@ def top_products(vectors: DataFrame, queries: DataFrame, top: int = TOP, scale:
     data = usable(vectors.select(columns).filter("vec_id IS NOT NULL").dropDuplicates(["vec_id"]), scale)
     asked = usable(queries.select(columns).filter("vec_id IS NOT NULL").dropDuplicates(["vec_id"]), scale)
     data = stored(data, "topk-vectors")
-    pivots = choose_pivots(data)
+    cells = min(max(1, data.count() // BLOCK), PIVOTS * ANNULI)
+    count = min(PIVOTS, math.ceil(math.sqrt(cells)))
+    pivots = choose_pivots(data, count)
     if not len(pivots):
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    index = stored(_annuli(stored(keyed(data, pivots), "topk-keyed")), "topk-annuli")
-    blocks = stored(_blocks(index), "topk-blocks")
+    index = _annuli(stored(keyed(data, pivots), "topk-keyed"), min(ANNULI, math.ceil(cells / count)))
+    index = stored(index, "topk-annuli")
     annuli = index.groupBy("pivot", "ring").agg(
-        F.min("distance").alias("near"), F.max("distance").alias("far"), F.min("norm").alias("least"),
-        F.max("norm").alias("most"), F.count(F.lit(1)).alias("n"),
-    )
+        F.min("distance").alias("near"), F.max("distance").alias("far"), F.max("norm").alias("most"), F.count(F.lit(1)).alias("n")
+    )
     annuli = annuli.select(*_SUMMARY).orderBy("pivot", "ring").toPandas()
+    # A frequent annulus has many blocks, dealt by a hash, so no task gets it whole.
+    parts = [(int(p), int(r), max(1, -(-int(n) // BLOCK))) for p, r, n in zip(annuli["pivot"], annuli["ring"], annuli["n"], strict=True)]
+    parts = F.broadcast(spark.createDataFrame(parts, "pivot int, ring int, parts int"))
+    blocked = index.join(parts, ["pivot", "ring"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
+    blocks = _packed(blocked.withColumn("floor", F.lit(0).cast("bigint")), ("pivot", "ring", "part"))
 
     lots = keyed(asked, pivots).orderBy("pivot", "distance", "vec_id").select("vec_id", "x")
-    lots = stored(lots, "topk-queries")
+    row = F.col("row")
+    number = F.shiftright(row, 33) * (1 << 25) + F.floor(row.bitwiseAND(F.lit((1 << 33) - 1)) / QUERY_BLOCK)
+    lots = stored(lots.withColumn("row", F.monotonically_increasing_id()).withColumn("lot", number), "topk-queries")
 
-    def opened(rows: DataFrame, first: bool) -> DataFrame:
-        """Query blocks per annulus that they open in this round; ``rows`` has ``vec_id``, ``x``, ``floor``."""
+    def searched(rows: DataFrame, first: bool) -> DataFrame:
+        """Scores of this round; ``rows`` has ``lot``, ``vec_id``, ``x`` and ``floor``."""
+        packed = _packed(rows, ("lot",))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for whole in batches:
-                for start in range(0, whole.num_rows, QUERY_BLOCK):
-                    batch = whole.slice(start, QUERY_BLOCK)
-                    ids, q, floors = batch.column(0).to_numpy(), _matrix(batch.column(1)), batch.column(2).to_numpy()
-                    bounds = _bounds(q, pivots, annuli)
+            n = annuli["n"].to_numpy()
+            for batch in batches:
+                for lot, _, floors, matrix in zip(*batch.columns, strict=True):
+                    floors = floors.values.to_numpy()
+                    bounds = _bounds(np.frombuffer(matrix.as_buffer()).reshape(len(floors), -1), pivots, annuli)
                     order = np.argsort(-bounds, axis=1, kind="stable")
-                    before = np.cumsum(annuli["n"].to_numpy()[order], axis=1) - annuli["n"].to_numpy()[order]
+                    before = np.cumsum(n[order], axis=1) - n[order]
                     early = np.zeros(bounds.shape, dtype=bool)
                     np.put_along_axis(early, order, before < _FIRST * top + 1, axis=1)
-                    wanted = early if first else ~early & (bounds >= floors[:, None])
-                    for a in np.flatnonzero(wanted.any(0)):
-                        at = np.flatnonzero(wanted[:, a])
-                        yield pa.record_batch(
-                            [
-                                pa.array([annuli["pivot"][a]], pa.int32()),
-                                pa.array([annuli["ring"][a]], pa.int32()),
-                                pa.array([ids[at].tolist()], pa.list_(pa.int64())),
-                                pa.array([floors[at].tolist()], pa.list_(pa.int64())),
-                                pa.array([np.ascontiguousarray(q[at]).tobytes()], pa.binary()),
-                            ],
-                            names=["pivot", "ring", "query_ids", "floors", "queries"],
-                        )
-
-        return rows.mapInArrow(run, "pivot int, ring int, query_ids array<bigint>, floors array<bigint>, queries binary")
-
-    def searched(rows: DataFrame, first: bool) -> DataFrame:
-        # A frequent annulus has many blocks; each joins on its own number, so no task gets them all.
-        numbers = stored(opened(rows, first), "topk-open").join(blocks.select("pivot", "ring", "block"), ["pivot", "ring"])
-        return _products(numbers.drop("pivot", "ring").join(blocks, "block"), top)
-
-    start = lots.withColumn("floor", F.lit(int(_NONE) + 1).cast("bigint"))
-    early = stored(_ranked(searched(start, True), top), "topk-first")
-    lowest = early.groupBy("query_id").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n"))
-    floors = lots.join(lowest.filter(F.col("n") >= top), F.col("vec_id") == F.col("query_id"), "left").select(
-        "vec_id", "x", F.coalesce("low", F.lit(int(_NONE) + 1)).alias("floor")
-    )
-    late = searched(stored(floors, "topk-floors"), False)
+                    # The first round compares all queries of a lot with what any of them opens.
+                    early = early.any(0)
+                    at = np.flatnonzero(early if first else ~early & (bounds >= floors[:, None]).any(0))
+                    opened = [pa.array(annuli[c].to_numpy()[at].astype(np.int32)) for c in ("pivot", "ring")]
+                    yield pa.record_batch([pa.array([lot.as_py()] * len(at), pa.int64()), *opened], names=["lot", "pivot", "ring"])
+
+        opened = stored(packed.mapInArrow(run, "lot bigint, pivot int, ring int"), "topk-open")
+        pairs = opened.join(parts, ["pivot", "ring"])
+        pairs = pairs.select("lot", "pivot", "ring", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        renamed = packed.withColumnsRenamed({"ids": "query_ids", "matrix": "queries"})
+        return _products(pairs.join(renamed, "lot").join(blocks.drop("floors"), ["pivot", "ring", "part"]), top)
+
+    lowest = F.lit(int(_NONE) + 1).cast("bigint")
+    early = stored(_ranked(searched(lots.withColumn("floor", lowest), True), top), "topk-first")
+    low = early.groupBy("query_id").agg(F.min("score").alias("low"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= top)
+    floors = lots.join(low, F.col("vec_id") == F.col("query_id"), "left").withColumn("floor", F.coalesce("low", lowest))
+    late = searched(stored(floors.select("lot", "vec_id", "x", "floor"), "topk-floors"), False)
     return _ranked(early.select("query_id", "vec_id", "score").unionByName(late), top)
 
 
