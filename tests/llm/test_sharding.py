@@ -65,3 +65,15 @@ def test_query_over_the_whole_table(spark):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     got = QUERIES["op1_sharding"](spark, folder).join(docs.select("doc_id", "text"), "doc_id").collect()
     check(got, docs.select("doc_id", F.lit(0)).collect(), 40)
+
+
+def test_groups_that_a_shard_can_hold_are_not_cut(spark):
+    sizes = {"a": 150, "b": 140, "c": 120}
+    texts = [(k, t) for k, t in enumerate([g for g, n in sizes.items() for _ in range(n)] + [f"single {i}" for i in range(1590)])]
+    got = run(spark, texts, 10)
+    assert [len({r.shard for r in got if r.text == g}) for g in sizes] == [1, 1, 1]
+
+
+def test_a_group_no_shard_can_hold_takes_as_few_as_it_needs(spark):
+    got = run(spark, [(i, "hot" if i < 300 else f"t{i}") for i in range(600)], 10)
+    assert len({r.shard for r in got if r.text == "hot"}) == 5

@@ -15,8 +15,6 @@ from tractline.llm.common import ranked, share, stored
 
 SHARDS = 40
 ROUNDS = 6
-#: A group larger than this part of a shard is cut into pieces that move on their own.
-PIECE = 4
 _SLICES = 64
 
 
@@ -28,15 +26,28 @@ def _quotas(df: DataFrame, shards: int, total: int) -> DataFrame:
     )
 
 
-def _pieces(rows: DataFrame, links: DataFrame, shards: int, total: int) -> DataFrame:
-    """``row_id``, ``piece``: the rows of every group with two members or more; hot groups in several pieces."""
-    largest = max(1, total // (shards * PIECE))
+def _pieces(links: DataFrame, shards: int, total: int) -> DataFrame:
+    """``row_id``, ``piece``, ``start``: the rows of every group with two members or more.
+
+    Only a group larger than a shard is cut, into as few pieces as shards can hold. Such pieces start
+    together on shards next to each other; ``start`` is null for other groups.
+    """
+    largest = max(1, total // shards)
     groups = stored(
         links.groupBy("group").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "shard-groups"
     )
-    cut = F.ceil(F.col("members") / F.lit(largest)).cast("int")
-    piece = F.xxhash64("group", F.pmod(F.xxhash64("row_id"), cut))
-    return links.join(groups, "group").select("row_id", piece.alias("piece"))
+    linked = stored(links.join(groups, "group"), "shard-members")
+    whole = linked.filter(F.col("members") <= largest).select(
+        "row_id", F.xxhash64("group", F.lit(0).cast("bigint")).alias("piece"), F.lit(None).cast("int").alias("start")
+    )
+    # Groups larger than a shard are fewer than shards, or than rows where shards outnumber these.
+    cut = F.ceil(F.col("members") / F.lit(largest))
+    before = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    large = groups.filter(F.col("members") > largest).select("group", F.coalesce(F.sum(cut).over(before), F.lit(0)).alias("first"))
+    rows = ranked(linked.filter(F.col("members") > largest), ["group"], ["row_id"], "rank").join(F.broadcast(large), "group")
+    number = F.floor(F.col("rank") / F.lit(largest))
+    start = F.pmod(F.col("first") + number, F.lit(shards)).cast("int")
+    return whole.unionByName(rows.select("row_id", F.xxhash64("group", number).alias("piece"), start.alias("start")))
 
 
 def _granted(asked: DataFrame, quotas: DataFrame) -> DataFrame:
@@ -73,7 +84,7 @@ def _granted(asked: DataFrame, quotas: DataFrame) -> DataFrame:
 def propagate(pieces: DataFrame, shards: int, total: int, rounds: int = ROUNDS) -> DataFrame:
     """``row_id``, ``piece``, ``shard`` of the linked rows after at most ``rounds`` rounds."""
     quotas = _quotas(pieces, shards, total)
-    state = stored(pieces.withColumn("shard", share("row_id", of=shards)), "shard-start")
+    state = stored(pieces.select("row_id", "piece", F.coalesce("start", share("row_id", of=shards)).alias("shard")), "shard-start")
     for turn in range(rounds):
         votes = state.groupBy("piece", "shard").agg(F.count(F.lit(1)).alias("n"))
         best = F.max_by("shard", F.struct("n", F.xxhash64("piece", "shard")))
@@ -98,12 +109,12 @@ def balanced_shards(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rou
 
     ``links`` has ``row_id`` and ``group``; a null group links nothing. Shard counts differ by one
     at most, slots are gapless from 0 in each shard. No rows give no rows; fewer rows than shards
-    leave the last shards empty. A group that no shard can hold is spread over as few as the pieces
-    need. Other columns pass through.
+    leave the last shards empty. A group that no shard can hold starts on as few as it needs; rows over a
+    shard's count go elsewhere. Other columns pass through.
     """
     total = rows.count()
     links = links.filter(F.col("group").isNotNull())
-    linked = propagate(_pieces(rows, links, shards, total), shards, total, rounds)
+    linked = propagate(_pieces(links, shards, total), shards, total, rounds)
     places = ranked(stored(linked, "shard-linked"), ["shard"], ["row_id"], "slot")
     quotas = F.broadcast(_quotas(rows, shards, total))
     places = places.join(quotas, "shard").filter("slot < quota").select("row_id", "shard", "slot")
