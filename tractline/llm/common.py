@@ -20,7 +20,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     folder = scratch_folder(spark, label)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    written = spark.read.schema(df.schema).parquet(folder)
+    written.stored_at = folder
+    return written
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of ``stored`` frames that nothing reads any more; other frames are left alone."""
+    for frame in frames:
+        folder = frame.__dict__.get("stored_at")
+        if folder is not None:
+            path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(frame.sparkSession._jsc.sc().hadoopConfiguration()).delete(path, True)
 
 
 def ranked(df: DataFrame, groups: Sequence[str], order: Sequence[str], rank: str, buckets: int = 256) -> DataFrame:

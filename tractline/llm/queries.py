@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractline.llm import decontamination, language, licences, line_dedup, packing, sharding, simhash, topk, toxicity, warc
+import public_tokenizers
+from tractline.llm import (
+    decontamination,
+    filter_audit,
+    language,
+    licences,
+    line_dedup,
+    packing,
+    prefix_trie,
+    sharding,
+    simhash,
+    token_counts,
+    topk,
+    toxicity,
+    warc,
+)
 from tractline.session import scratch_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +107,18 @@ def _(spark, folder):
     path = F.concat_ws("/", *[s.cast("string") for s in steps])
     found = licences.scan_licences(docs.select("doc_id", path.alias("path"), "text"))
     return found.drop("text")
+
+
+@query("op11_token_counts")
+def _(spark, folder):
+    return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op12_filter_audit", filter_audit.SQL)
+def _(spark, folder):
+    return filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op13_prefix_trie", prefix_trie.SQL)
+def _(spark, folder):
+    return prefix_trie.conversation_trie(table(spark, folder, "conversations"))
