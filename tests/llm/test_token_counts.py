@@ -65,7 +65,7 @@ def test_edge_cases_and_clashing_columns(spark):
 
 
 def test_rare_and_long_parts_meet_by_a_shuffled_join(spark, monkeypatch):
-    monkeypatch.setattr(token_counts, "HOT_SHARE", 4)
+    monkeypatch.setattr(token_counts, "HOT_PARTS", 2)
     monkeypatch.setattr(token_counts, "HOT_BYTES", 6)
     texts = ["the cat " * 5 + f"w{i} " + "z" * 40 for i in range(60)]
     got = token_counts.count_tokens(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string"), MODEL)
