@@ -15,22 +15,25 @@ from pathlib import Path
 
 import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tractline.llm.common import stored
 
 #: A text of more tokens is over the limit.
 LIMIT = 4096
-#: A pre-token with one in so many of all (text, pre-token) pairs is joined by broadcast: at most so many rows.
-HOT_SHARE = 1 << 16
-#: Longer pre-tokens are never broadcast, so the broadcast table holds at most HOT_SHARE x HOT_BYTES bytes.
-HOT_BYTES = 256
+#: The counts of so many pre-tokens at most are broadcast, the most frequent ones.
+HOT_PARTS = 1 << 19
+#: Longer pre-tokens are never broadcast, so those that are hold at most HOT_PARTS x HOT_BYTES bytes.
+HOT_BYTES = 64
 #: Pre-tokens above this length are cut once more, at every pair of characters that no piece holds.
 _LONG = 32
 _SPACE = "▁"
 _GUARD = "\n"
 _ENCODED = 4096
+#: Distinct pre-tokens a task counts before it hands them on.
+_HELD = 1 << 18
 
 
 class PreTokens:
@@ -99,64 +102,95 @@ class PreTokens:
         return {k: v for k, v in self.__dict__.items() if k != "library"}
 
 
-def pre_tokens(docs: DataFrame, parts: PreTokens) -> DataFrame:
-    """One stored row per row of ``docs``: ``row_id``, ``doc_id``, ``n_bytes``, and the arrays ``part`` and ``times``."""
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, times, ends = [], [], [0]
-            for text in batch.column(2):
-                found = parts.cut(text.as_py() or "")
-                names.extend(found.keys())
-                times.extend(found.values())
-                ends.append(len(names))
-            ends = pa.array(ends, pa.int32())
-            lists = [pa.ListArray.from_arrays(ends, pa.array(v, kind)) for v, kind in ((names, pa.string()), (times, pa.int64()))]
-            yield pa.record_batch([batch.column(0), batch.column(1), *lists], names=["doc_id", "n_bytes", "part", "times"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes")
-    cut = docs.select("doc_id", size, "text").mapInArrow(
-        scan, f"doc_id {kind}, n_bytes bigint, part array<string>, times array<bigint>"
-    )
-    return stored(cut.withColumn("row_id", F.monotonically_increasing_id()), "token-parts")
-
-
-def piece_counts(texts: DataFrame, parts: PreTokens) -> DataFrame:
+def piece_counts(docs: DataFrame, parts: PreTokens) -> DataFrame:
     """``part``, ``texts`` (rows that hold it) and ``pieces`` of every distinct pre-token, stored."""
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(held: Counter[str]) -> pa.RecordBatch:
+            return pa.record_batch([pa.array(held, pa.string()), pa.array(held.values(), pa.int64())], names=["part", "texts"])
+
+        held: Counter[str] = Counter()
+        for batch in batches:
+            for text in batch.column(0):
+                held.update(parts.cut(text.as_py()).keys())
+                if len(held) > _HELD:
+                    yield rows(held)
+                    held.clear()
+        yield rows(held)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, _ENCODED):
                 some = batch.slice(at, _ENCODED)
                 counts = pa.array(parts.count(some.column(0).to_pylist()), pa.int64())
                 yield pa.record_batch([some.column(0), some.column(1), counts], names=["part", "texts", "pieces"])
 
-    distinct = texts.select(F.explode("part").alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("texts"))
-    return stored(distinct.mapInArrow(scan, "part string, texts bigint, pieces bigint"), "token-pieces")
+    cuts = docs.filter("text IS NOT NULL").select("text").mapInArrow(cut, "part string, texts bigint")
+    distinct = cuts.groupBy("part").agg(F.sum("texts").alias("texts"))
+    return stored(distinct.mapInArrow(count, "part string, texts bigint, pieces bigint"), "token-pieces")
+
+
+def frequent(pieces: DataFrame, most: int) -> Column:
+    """Whether a pre-token is among the frequent ones, of which there are at most ``most``.
+
+    They are told by their number of texts, in steps of an eighth of a doubling; of the steps the driver gets a count each.
+    """
+    step = F.floor(F.log2("texts") * 8)
+    total, least = 0, None
+    for row in pieces.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("step")).collect():
+        total += row.n
+        if total > most:
+            break
+        least = row.step
+    return F.lit(False) if least is None else (step >= least) & (F.octet_length("part") <= HOT_BYTES)
 
 
 def count_tokens(docs: DataFrame, model: str, limit: int = LIMIT) -> DataFrame:
     """``doc_id``, ``n_bytes`` (UTF-8), ``n_tokens`` and ``over_limit`` of every row of ``docs`` (``doc_id``, ``text``).
 
     ``model`` is the file of a sentencepiece BPE model; executors get its bytes. Counts are what the library
-    gives for the whole text, without begin, end or other added tokens. Frequent pre-tokens, which are at most
-    ``HOT_SHARE``, meet the texts by broadcast and leave only rare ones to be shuffled. A null or empty text
-    has 0 bytes and 0 tokens. Repeated rows, and rows of equal or null ``doc_id``, have a result each. An
-    empty table gives an empty one. Other columns are not read, so their names are no matter.
+    gives for the whole text, without begin, end or other added tokens. The counts of frequent pre-tokens, at
+    most ``HOT_PARTS`` of at most ``HOT_BYTES`` bytes, are broadcast and summed where a text is cut, so only rare
+    ones are shuffled to meet theirs. A null or empty text has 0 bytes and 0 tokens. Repeated rows, and rows
+    of equal or null ``doc_id``, have a result each. An empty table gives an empty one. Other columns are not
+    read, so their names are no matter.
     """
     parts = PreTokens(Path(model).read_bytes())
-    texts = pre_tokens(docs, parts)
-    pieces = piece_counts(texts, parts)
-    total = pieces.agg(F.coalesce(F.sum("texts"), F.lit(0))).first()[0]
-    hot = (F.col("texts") * HOT_SHARE >= total) & (F.octet_length("part") <= HOT_BYTES)
-    row = ["row_id", "doc_id", "n_bytes"]
-    held = texts.select(*row, F.explode_outer(F.arrays_zip("part", "times")).alias("held"))
-    held = held.select(*row, F.col("held.part").alias("part"), F.col("held.times").alias("times"))
-    known = held.join(F.broadcast(pieces.filter(hot).select("part", "pieces")), "part", "left")
-    tokens = F.sum(F.coalesce(F.col("pieces") * F.col("times"), F.lit(0))).alias("n_tokens")
-    frequent = known.groupBy(*row).agg(tokens)
-    rest = known.filter("part IS NOT NULL AND pieces IS NULL").drop("pieces")
-    rare = rest.join(pieces.filter(~hot).select("part", "pieces"), "part").groupBy(*row).agg(tokens)
-    counted = frequent.unionByName(rare).groupBy(*row).agg(F.sum("n_tokens").alias("n_tokens"))
+    pieces = piece_counts(docs, parts)
+    hot = frequent(pieces, HOT_PARTS)
+    known = docs.sparkSession.sparkContext.broadcast({r.part: r.pieces for r in pieces.filter(hot).collect()})
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["row_id", "doc_id", "n_bytes", "n_tokens", "part", "times"]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per text with the tokens of its frequent pre-tokens, and one per rare pre-token in it."""
+        counted, row = known.value, TaskContext.get().partitionId() << 40
+        for batch in batches:
+            rows, at, tokens, rare, times = [], [], [], [], []
+            for i, text in enumerate(batch.column(2)):
+                found = parts.cut(text.as_py() or "")
+                rest = [p for p in found if p not in counted]
+                tokens.append(sum(counted[p] * n for p, n in found.items() if p in counted))
+                at.extend([i, *[None] * len(rest)])
+                rows.extend([row] * (len(rest) + 1))
+                tokens.extend([None] * len(rest))
+                rare.extend([None, *rest])
+                times.extend([None, *[found[p] for p in rest]])
+                row += 1
+            at = pa.array(at, pa.int64())
+            long = lambda values: pa.array(values, pa.int64())
+            own = [batch.column(0).take(at), batch.column(1).take(at)]
+            yield pa.record_batch([long(rows), *own, long(tokens), pa.array(rare, pa.string()), long(times)], names=names)
+
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes")
+    schema = f"row_id bigint, doc_id {kind}, n_bytes bigint, n_tokens bigint, part string, times bigint"
+    held = docs.select("doc_id", size, "text").mapInArrow(scan, schema)
+    # A text's own row meets nothing; a key of its own keeps such rows out of one partition.
+    held = held.withColumn("part", F.coalesce("part", F.concat(F.lit("\n"), F.col("row_id").cast("string"))))
+    met = held.join(pieces.filter(~hot).select("part", "pieces"), "part", "left")
+    counted = met.groupBy("row_id").agg(
+        F.max("doc_id").alias("doc_id"),
+        F.max("n_bytes").alias("n_bytes"),
+        F.sum(F.coalesce("n_tokens", F.col("times") * F.col("pieces"))).alias("n_tokens"),
+    )
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
