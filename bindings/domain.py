@@ -97,10 +97,14 @@ DERIVED = {
         SELECT c_custkey, 32848, 1147314, (c_custkey + 1) % (SELECT count(*) FROM customer),
                DATE '1997-06-01', DATE '1998-06-30'
         FROM customer WHERE c_custkey % 5 = 0""",
+    # Some streets also lie in a city whose name ends like theirs, under a smaller id.
     "address_points": f"""
         SELECT c_custkey AS point_id, street, city, state, zip,
                CAST({_LATITUDE} AS DOUBLE) AS latitude, CAST({_LONGITUDE} AS DOUBLE) AS longitude
-        FROM {_HOMES}""",
+        FROM {_HOMES}
+        UNION ALL
+        SELECT -c_custkey, street, 'West ' || city, state, NULL, CAST({_LATITUDE} AS DOUBLE) + 25e-2, CAST({_LONGITUDE} AS DOUBLE)
+        FROM {_HOMES} WHERE c_custkey % 3 = 0""",
     # One address row per order: its customer's address, exact, in other writing, with a typo, with
     # another house number or cut short; some without ZIP, some without anything.
     "address_multi": f"""
@@ -113,7 +117,7 @@ DERIVED = {
                     WHEN 5 THEN CASE WHEN o_orderkey % 3 = 0 THEN 'n/a' END
                     WHEN 6 THEN replace(street, 'U', 'O') || CASE WHEN o_orderkey % 2 = 0 THEN ' Apt 204' ELSE ', Unit B' END
                     ELSE street END AS street,
-               CASE WHEN o_orderkey % 35 = 5 THEN ' NULL ' ELSE city END AS city,
+               CASE WHEN o_orderkey % 35 = 5 THEN ' NULL ' WHEN o_orderkey % 11 = 2 THEN 'West ' || city ELSE city END AS city,
                CASE WHEN o_orderkey % 35 = 5 THEN NULL ELSE state END AS state,
                CASE WHEN o_orderkey % 35 = 5 THEN 'none' WHEN o_orderkey % 4 = 0 THEN NULL
                     WHEN o_orderkey % 6 = 1 THEN zip || '.0'

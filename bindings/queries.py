@@ -16,6 +16,7 @@ from tractline.plans import jobs, linkage
 from tractline.schemas import ADDRESS_PARTS, LOCATION_COLUMNS, LOCATION_HISTORY_COLUMNS
 from tractline.session import scratch_folder
 from tractline.sinks import files
+from tractline.sinks.location_store import LocationStore
 from tractline.sources import csv_folder, tables
 from tractline.streaming import incremental
 
@@ -589,6 +590,20 @@ def _(d):
     )
 
 
+@query(
+    "u2_location_incremental",
+    over(_VISIT_TABLES, f"SELECT DISTINCT {_TRIMMED} FROM visit_rows WHERE location_id % 5 <> 4", _visit_rows()),
+)
+def _(d):
+    """Two deliveries that overlap, the second one twice, as one table."""
+    rows = _located_visits(d)
+    store = LocationStore(d.spark, _scratch(d, "location"), buckets=8)
+    store.merge("first", rows.where("location_id % 5 < 3"))
+    for _ in range(2):
+        store.merge("second", rows.where("location_id % 5 IN (2, 3)"))
+    return store.read()
+
+
 @query("d1_distinct", over("coordinates", "SELECT DISTINCT latitude, longitude FROM coordinates"))
 def _(d):
     return locations.distinct_rows(d["coordinates"].select("latitude", "longitude"))
@@ -1172,7 +1187,8 @@ _WRITTEN_VISIT = (
     "sink_category_batches",
     over(
         _VISIT_TABLES,
-        f"SELECT {_WRITTEN_VISIT}, {_CATEGORY} AS category FROM visit_rows",
+        f"SELECT {_WRITTEN_VISIT}, {_CATEGORY} AS category, CAST(floor((row_number() OVER (PARTITION BY {_CATEGORY} "
+        "ORDER BY person_id, visit_start_date, visit_occurrence_id) - 1) / 500) AS INTEGER) AS page FROM visit_rows",
         _visit_rows(),
     ),
 )

@@ -103,10 +103,6 @@ def fips(tract_id: str) -> str:
     return f"right('00000000000' || {tract_id}, 11)"
 
 
-def _last(x: str, words: int) -> str:
-    return f"regexp_extract({x}, '([^ ]+ ){{0,{words - 1}}}[^ ]+$', 0)"
-
-
 def without_unit(x: str) -> str:
     units = "apt|apartment|unit|ste|suite|rm|room|lot|#"
     name = "([a-z]?[0-9]+[a-z]?|[a-z])(-[a-z0-9]+)?"
@@ -160,8 +156,7 @@ scored AS (
     FROM asked_keyed q JOIN points_keyed p
       ON q_number <> '' AND q_number = p_number AND {_numbers('q_street')} = {_numbers('p_street')}
      AND CASE WHEN q_zip <> '' THEN q_zip = p_zip
-              ELSE q_city <> '' AND q_state <> '' AND p_city <> '' AND q_state = p_state
-                   AND {_last('q_city', 1)} = {_last('p_city', 1)} END),
+              ELSE q_city <> '' AND q_state <> '' AND q_city = p_city AND q_state = p_state END),
 best AS ({_BEST.format(scored='scored')})"""
 
 
@@ -175,16 +170,21 @@ asked_keyed AS (
     SELECT rid, {_zip5(f"regexp_extract(q_all, {end}, 1)")} AS q_zip, regexp_replace(q_all, {end}, '') AS q_text,
            {_number(f"regexp_replace(q_all, {end}, '')")} AS q_number
     FROM asked),
+places AS (SELECT DISTINCT p_place FROM points_keyed WHERE p_city <> '' AND p_state <> ''),
+asked_places AS (
+    SELECT q_text, arg_max(p_place, length(p_place)) AS q_place
+    FROM (SELECT DISTINCT q_text FROM asked_keyed WHERE q_zip = '') JOIN places ON ends_with(q_text, ' ' || p_place)
+    GROUP BY q_text),
 pairs AS (
     SELECT rid, p.*,
            CASE WHEN ends_with(q_text, ' ' || p_place)
                 THEN left(q_text, length(q_text) - length(p_place) - 1) ELSE q_text END AS a,
            CASE WHEN ends_with(q_text, ' ' || p_place) THEN p_street ELSE p_street || ' ' || p_place END AS b
-    FROM asked_keyed q JOIN points_keyed p
+    FROM asked_keyed q LEFT JOIN asked_places USING (q_text) JOIN points_keyed p
       ON q_number <> '' AND q_number = p_number
      AND {_numbers('q_text')} = {_numbers("p_street || ' ' || p_place")}
      AND CASE WHEN q_zip <> '' THEN q_zip = p_zip
-              ELSE p_city <> '' AND p_state <> '' AND {_last('q_text', 2)} = {_last('p_place', 2)} END),
+              ELSE p_city <> '' AND p_state <> '' AND q_place = p_place END),
 scored AS (SELECT *, 1e0 - levenshtein(a, b) / greatest(length(a), length(b)) AS score FROM pairs),
 best AS ({_BEST.format(scored='scored')})"""
 

@@ -4,7 +4,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tractline.operators.geocode import _point_keys, geocode, query_keys
+from tractline.operators import geocode as module
+from tractline.operators import near_streets
+from tractline.operators.geocode import _point_keys, gazetteer, geocode, places_at_end, query_keys
 from tractline.plans import linkage
 from tractline.schemas import ADDRESS_POINTS, LOCATION_COLUMNS, TRACTS
 
@@ -227,3 +229,160 @@ def test_refresh_location_fills_only_what_is_missing(spark, points):
     assert {r.location_id: (r.latitude, r.longitude) for r in got.collect()} == {
         1: (1.5, 2.5), 2: (30.35, -81.67), 3: (28.6, -81.3), 4: (None, None),
     }
+
+
+CITIES = [
+    (1, "100 Oak St", "Tarpon Springs", "FL", None, 1.0, 0.0),
+    (2, "100 Oak St", "Coral Springs", "FL", "33065", 2.0, 0.0),
+    (3, "100 Oak St", "Springs", "FL", None, 3.0, 0.0),
+    (4, "7 Palm Way", "West Palm Beach", "FL", None, 4.0, 0.0),
+    (5, "7 Palm Way", "Palm Beach", "FL", None, 5.0, 0.0),
+    (6, "9 Elm St", "Village of the Branch on Sea", "New York", None, 6.0, 0.0),
+    (7, "100 Oak St", None, "FL", "33065", 7.0, 0.0),
+]
+
+
+@pytest.mark.parametrize(
+    ("street", "city", "state", "found"),
+    [
+        ("100 Oak St", "Coral Springs", "FL", 2),
+        ("100 Oka St", "coral  springs", "fl.", 2),
+        ("100 Oak St", "Tarpon Springs", "FL", 1),
+        ("100 Oak St", "Springs", "FL", 3),
+        ("100 Oak St", "Silver Springs", "FL", None),
+        ("100 Oak St", "Coral Springs", "GA", None),
+        ("7 Palm Way", "Palm Beach", "FL", 5),
+        ("7 Palm Way", "West Palm Beach", "FL", 4),
+        ("9 Elm St", "Village of the Branch on Sea", "New York", 6),
+        ("9 Elm St", "Branch on Sea", "New York", None),
+        ("100 Oak St", None, None, None),
+    ],
+)
+def test_the_whole_city_decides_without_a_zip(spark, street, city, state, found):
+    points = spark.createDataFrame(CITIES, ADDRESS_POINTS)
+    row = spark.createDataFrame([(0, street, city, state, None)], ASKED)
+    assert geocode(row, points).first().latitude == found
+    single = spark.createDataFrame([(0, " ".join(p for p in (street, city, state) if p))], "id int, address string")
+    # In one column "Silver Springs FL" ends with the known place "Springs FL"; "Silver" is then part of the street.
+    got = geocode(single, points, ("address",)).first().latitude
+    assert got == found
+
+
+def test_places_are_the_longest_known_ones(spark):
+    points = spark.createDataFrame(CITIES, ADDRESS_POINTS)
+    places = gazetteer(points)
+    assert places.count() == 6
+    texts = ["100 oak st coral springs fl", "coral springs fl", "1 x springs fl", "7 west palm beach fl", "9 elm st nowhere ny", "", "fl"]
+    texts += ["9 elm st village of the branch on sea new york"]
+    got = {r._text: r._place for r in places_at_end(spark.createDataFrame([(t,) for t in texts], "_text string"), places).collect()}
+    assert got == {
+        "100 oak st coral springs fl": "coral springs fl",
+        "coral springs fl": "springs fl",
+        "1 x springs fl": "springs fl",
+        "7 west palm beach fl": "west palm beach fl",
+        texts[-1]: "village of the branch on sea new york",
+    }
+    assert places_at_end(spark.createDataFrame([("x y z",)], "_text string"), gazetteer(points.limit(0))).collect() == []
+
+
+def near(a, b, threshold):
+    longest = max(len(a), len(b))
+    edits = distance(a, b)
+    return 1 - edits / longest if edits <= int(longest * (1 - threshold) + 1e-9) else None
+
+
+@pytest.mark.parametrize("threshold", [0.7, 0.5, 0.85])
+def test_segments_lose_no_pair(spark, threshold):
+    """Short, long and repetitive texts; each pair within the budget must be met, and once."""
+    rng = random.Random(int(threshold * 100))
+    def text():
+        return "7" + rng.choice(["", " "]) + "".join(rng.choices("ab c", weights=[4, 3, 2, 1], k=rng.choice([0, 1, 3, 7, 12, 22])))
+    texts = sorted({text() for _ in range(60)})
+    asked = [(t, "z:1", "7", "", t, t) for t in texts]
+    held = [("z:1", "7", t, "", t) for t in texts]
+    asked = spark.createDataFrame(asked, "_k0 string, _region string, _numbers string, _text string, _street string, _asked string")
+    held = spark.createDataFrame(held, "_region string, _numbers string, _p_street string, _p_tail string, _whole string")
+    for edits in (None, *near_streets.FEW_EDITS):
+        rows = near_streets.pairs_within(asked, held, threshold, edits).select("_k0", "_p_street").collect()
+        found = {tuple(r) for r in rows}
+        assert len(rows) == len(found)
+        for a in texts:
+            for b in texts:
+                d = distance(a, b)
+                if d <= (int(max(len(a), len(b)) * (1 - threshold) + 1e-9) if edits is None else edits):
+                    assert (a, b) in found, (a, b, edits)
+
+
+@pytest.mark.parametrize("columns", [4, 1])
+def test_a_crowded_block_against_all_pairs(spark, columns, monkeypatch):
+    monkeypatch.setattr(module, "CROWDED", 20)
+    rng = random.Random(4)
+    parts = ["ma", "no", "li", "sha", "ker", "ton", "vi", "del"]
+    kinds = ["St", "Ave", "Rd", "Way"]
+    streets = sorted({f"100 {''.join(rng.choices(parts, k=rng.randint(1, 4)))} {rng.choice(kinds)}" for _ in range(250)})
+    base = [(i, s, "Big Town", "FL", "11111" if i % 3 else None, float(i), 0.0) for i, s in enumerate(streets)]
+    base += [(1000 + i, f"{200 + i} Quiet St", "Big Town", "FL", "11111", 500.0 + i, 0.0) for i in range(10)]
+    asked = []
+    for i in range(160):
+        letters = list(rng.choice(streets))
+        for _ in range(rng.choice([0, 0, 1, 2, 4])):
+            at = rng.randrange(4, len(letters))
+            letters[at : at + rng.choice([0, 1])] = rng.choice(["q", "a", ""])
+        asked.append((i, "".join(letters), "Big Town", "FL", rng.choice(["11111", None])))
+    asked += [(900, "205 Quiet St", "Big Town", "FL", "11111"), (901, "100 zzzz", "Big Town", "FL", "11111")]
+
+    def forms(row):
+        return " ".join(re.sub("[^a-z0-9]+", " ", row.lower()).split())
+
+    def best(row):
+        _, street, city, state, code = row
+        scored = []
+        for p in base:
+            a, b = forms(street), forms(p[1])
+            if (p[4] == code if code else True) and re.findall(r"\d+", a) == re.findall(r"\d+", b):
+                score = near(a, b, 0.7)
+                if score is not None:
+                    scored.append((score, -p[0]))
+        return max(scored) if scored else None
+
+    points = spark.createDataFrame(base, ADDRESS_POINTS)
+    if columns == 4:
+        got = geocode(spark.createDataFrame(asked, ASKED), points)
+    else:
+        rows = [(r[0], " ".join(p for p in r[1:] if p)) for r in asked]
+        got = geocode(spark.createDataFrame(rows, "id int, address string"), points, ("address",))
+    lat = {p[0]: p[5] for p in base}
+    want = {r[0]: best(r) for r in asked}
+    for r in got.collect():
+        w = want[r.id]
+        assert (r.latitude, r.score) == ((lat[-w[1]], pytest.approx(w[0])) if w else (None, None)), r
+    assert sum(w is not None and w[0] < 1 for w in want.values()) > 50
+
+
+def test_scored_pairs_stay_near_the_matches(spark, monkeypatch):
+    """A block of 10,000 streets: of 10 million pairs, only a few for each address are ever scored."""
+    rng = random.Random(9)
+    parts = ["ma", "no", "li", "sha", "ker", "ton", "vi", "del", "bru", "wick", "eas", "pol"]
+    streets = set()
+    while len(streets) < 10_000:
+        streets.add(f"100 {''.join(rng.choices(parts, k=4))} {rng.choice(['st', 'ave', 'rd'])}")
+    streets = sorted(streets)
+    base = [(i, s, "Town", "FL", "11111", float(i), 0.0) for i, s in enumerate(streets)]
+    asked = []
+    for i in range(1000):
+        letters = list(rng.choice(streets))
+        if i % 2:
+            letters[rng.randrange(4, len(letters) - 4)] = "q"
+        asked.append((i, "".join(letters), "Town", "FL", "11111"))
+    counts = []
+    scored = module.score_pairs
+
+    def counting(pairs, threshold):
+        counts.append(pairs.count())
+        return scored(pairs, threshold)
+
+    monkeypatch.setattr(module, "score_pairs", counting)
+    got = geocode(spark.createDataFrame(asked, ASKED), spark.createDataFrame(base, ADDRESS_POINTS))
+    found = {r.id: r.score for r in got.collect()}
+    assert all(found[i] == 1.0 for i in range(0, 1000, 2)) and all(found[i] is not None for i in range(1000))
+    assert sum(counts) < 100 * len(asked), counts

@@ -139,7 +139,7 @@ def test_index_is_kept_and_codes_come_together(spark, tmp_path, polygons):
     rows = spark.createDataFrame([(1, 30.5, -81.5), (2, None, -81.0), (3, 10.0, 10.0), (4, 30.5, -81.5)], "id int, latitude double, longitude double")
     index = tracts.build_tract_index(polygons).save(str(tmp_path / "index"))
     shuffled = tracts.build_tract_index(polygons, broadcast_bytes=0).save(str(tmp_path / "other"))
-    assert index.broadcastable and not shuffled.broadcastable and index.level == shuffled.level
+    assert index.broadcastable and not shuffled.broadcastable and index.levels == shuffled.levels
     for one in (index, shuffled):
         got = {r.id: (r.FIPS_2010, r.FIPS_2020) for r in tracts.assign_codes(rows, one).collect()}
         assert got == {1: ("12031000101",) * 2, 2: (None, None), 3: (None, None), 4: ("12031000101",) * 2}

@@ -1,3 +1,5 @@
+import contextlib
+import io
 import math
 import random
 
@@ -132,3 +134,76 @@ def test_missing_columns_and_no_tracts(spark):
     assert found(df, T.build_tract_index(empty)) == {1: None}
     with pytest.raises(ContractError):
         T.build_tract_index(empty.drop("ring"))
+
+
+def square(x, y, width):
+    return edges([(x, y), (x + width, y), (x + width, y + width), (x, y + width)])
+
+
+def tiny_and_huge():
+    tiny = [(f"t{i:03d}", "x", 2010, square(-80 + (i % 20) * 0.01, 25 + i // 20 * 0.01, 0.01)) for i in range(400)]
+    huge = [(f"h{i:02d}", "x", 2010, square(-120 + (i % 5) * 5.0, 30 + i // 5 * 5.0, 5.0)) for i in range(20)]
+    return tiny, huge
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, T.BROADCAST_BYTES])
+def test_every_polygon_is_cut_at_its_own_level(spark, broadcast_bytes):
+    tiny, huge = tiny_and_huge()
+    frame = lambda rows: spark.createDataFrame(rows, TRACTS)
+    index = T.build_tract_index(frame(tiny + huge), None, broadcast_bytes)
+    assert len(index.levels) == 2
+    total = lambda df: T._levelled(df.select("ring"), None).agg(F.sum(T._size_bound())).first()[0]
+    assert total(frame(tiny + huge)) <= 2 * (total(frame(tiny)) + total(frame(huge)))
+    rng = random.Random(8)
+    points = [(i, rng.uniform(24.9, 25.3), rng.uniform(-80.1, -79.7), 2010) for i in range(400)]
+    points += [(500 + i, rng.uniform(29, 51), rng.uniform(-121, -94), 2010) for i in range(400)]
+    assert found(spark.createDataFrame(points, POINT), index) == brute(tiny + huge, points)
+    codes = T.assign_codes(spark.createDataFrame(points, POINT), index).collect()
+    want = brute(tiny + huge, points)
+    assert all((r.FIPS_2010 is not None) == (want[r.id] is not None) and r.FIPS_2020 is None for r in codes)
+
+
+def test_overlapping_levels_give_the_smaller_code(spark):
+    polygons = [("5", "x", 2010, square(0.0, 0.0, 8.0)), ("7", "x", 2010, square(1.0, 1.0, 0.01)), ("3", "x", 2010, square(2.0, 2.0, 0.01))]
+    points = [(1, 1.005, 1.005, 2010), (2, 2.005, 2.005, 2010), (3, 4.0, 4.0, 2010)]
+    for limit in (0, T.BROADCAST_BYTES):
+        index = T.build_tract_index(spark.createDataFrame(polygons, TRACTS), None, limit)
+        assert found(spark.createDataFrame(points, POINT), index) == {1: "5", 2: "3", 3: "5"}
+
+
+def test_parts_on_both_sides_of_the_180th_meridian(spark):
+    ring = square(178.0, 50.0, 1.5) + square(-179.5, 50.0, 1.0)
+    index = T.build_tract_index(spark.createDataFrame([("9", "x", 2010, ring)], TRACTS))
+    points = [(1, 50.5, 179.0, 2010), (2, 50.5, -179.0, 2010), (3, 50.5, 0.0, 2010)]
+    assert found(spark.createDataFrame(points, POINT), index) == {1: "9", 2: "9", 3: None}
+    assert index.cells.count() < 2000
+
+
+def test_a_saved_index_is_read_where_the_points_are(spark, tmp_path):
+    """Sixteen states of small tracts; the points lie in one."""
+    polygons = [
+        (f"{state:02d}{i:03d}", "x", 2010, square(-120 + state % 4 * 10 + i % 5 * 0.02, 25 + state // 4 * 5 + i // 5 * 0.02, 0.02))
+        for state in range(16)
+        for i in range(25)
+    ]
+    folder = str(tmp_path / "index")
+    index = T.build_tract_index(spark.createDataFrame(polygons, TRACTS)).save(folder, files=16)
+    points = [(i, 30.0 + i * 0.0005, -110.0 + i * 0.0005, 2010) for i in range(190)] + [(999, None, None, 2010)]
+    df = spark.createDataFrame(points, POINT)
+    near = T.TractIndex.load(spark, folder, T.points_box(df))
+    assert len(index.cells.inputFiles()) == 16 and 0 < len(near.cells.inputFiles()) <= 3
+    with contextlib.redirect_stdout(io.StringIO()) as text:
+        near.cells.explain("formatted")
+    scan = text.getvalue()
+    assert "PushedFilters" in scan and "GreaterThanOrEqual(east" in scan
+    assert near.cells.count() < index.cells.count() / 8
+    assert found(df, near) == found(df, index) == brute(polygons, points)
+    nowhere = T.TractIndex.load(spark, folder, T.points_box(df.where("latitude is null")))
+    assert nowhere.cells.count() == 0 and set(found(df, nowhere).values()) == {None}
+
+
+def test_morton_codes_interleave_bits(spark):
+    pairs = [(0, 0), (1, 0), (0, 1), (5, 3), (2**26 - 1, 0), (12345678, 7654321)]
+    df = spark.createDataFrame(pairs, "x bigint, y bigint").select("x", "y", T._interleaved(F.col("x"), F.col("y")).alias("m"))
+    for r in df.collect():
+        assert r.m == sum((r.x >> i & 1) << 2 * i | (r.y >> i & 1) << 2 * i + 1 for i in range(26))

@@ -8,7 +8,6 @@ which year of a variable applies to a visit, is our choice and stated where it i
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +21,7 @@ from tractline.session import BROADCAST_BYTES, broadcast_within, spread_unless
 
 LEVELS = ("tract", "county", "state", "zcta")
 _LISTED = 200
+_ELEMENT_BYTES = 16
 
 
 def select_variables(
@@ -78,28 +78,42 @@ def roll_up(
     return df.withColumn(geocode, F.substring(fips, 1, length))
 
 
-def wide_values(values: DataFrame, variables: Mapping[int, str], last_year: int | None = None) -> DataFrame:
+def wide_values(values: DataFrame, variables: Mapping[int, str]) -> DataFrame:
     """One row per (geocode, year) with a column per variable.
 
-    With ``last_year`` each value also stands for the following years until the next value of the
-    same variable, up to ``last_year``; the year column then answers "the latest value so far" by
-    equality. A repeated value of the same variable, place and year counts once, as the larger.
+    A repeated value of the same variable, place and year counts once, as the larger.
     """
     chosen = select_variables(values, variable_ids=list(variables))
-    if last_year is not None:
-        once = chosen.groupBy("geocode", "variable_id", "year").agg(F.max("value").alias("value"))
-        following = F.lead("year").over(Window.partitionBy("geocode", "variable_id").orderBy("year"))
-        chosen = (
-            once.where(F.col("year") <= last_year)
-            .withColumn("_until", F.coalesce(following - 1, F.lit(last_year)))
-            .withColumn("year", F.explode(F.sequence("year", "_until")))
-        )
     # One aggregate per variable instead of a pivot: a single shuffle, combined on the map side.
     return chosen.groupBy("geocode", "year").agg(
         *[F.max(F.when(F.col("variable_id") == key, F.col("value"))).alias(name) for key, name in variables.items()]
     )
 
 
+def value_histories(values: DataFrame, variables: Mapping[int, str]) -> DataFrame:
+    """``geocode`` and ``_history``: the place's years in order, each with the latest values up to then.
+
+    A place has at most one element per year that occurs, however many rows ask for it.
+    """
+    wide = wide_values(values, variables).where("geocode IS NOT NULL AND year IS NOT NULL")
+    so_far = Window.partitionBy("geocode").orderBy("year").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    latest = [F.last(name, ignorenulls=True).over(so_far).alias(name) for name in variables.values()]
+    filled = wide.select("geocode", "year", *latest)
+    return filled.groupBy("geocode").agg(F.sort_array(F.collect_list(F.struct("year", *variables.values()))).alias("_history"))
+
+
+def _as_of(history: Column, year: Column) -> Column:
+    """The last element of ``history`` (sorted by ``year``) not after ``year``, by binary search; else NULL."""
+    # As many steps as the length has bits, each adding its power of two if the element there is early enough.
+    steps = F.sequence(F.length(F.bin(F.size(history).cast("bigint"))) - 1, F.lit(0), F.lit(-1))
+
+    def step(found: Column, bit: Column) -> Column:
+        further = found + F.call_function("shiftleft", F.lit(1), bit)
+        return F.when(F.get(history["year"], further - 1) <= year, further).otherwise(found)
+
+    return F.get(history, F.aggregate(steps, F.lit(0), step) - 1)
+
+
 def join_by_geocode(
     rows: DataFrame,
     values: DataFrame,
@@ -114,23 +128,26 @@ def join_by_geocode(
 
     The values are made wide first, so the join adds at most one row per input row and its key is
     unique on one side: a place that holds very many of the rows only needs its partition split,
-    which adaptive execution does. Rows without a place are spread by a hash. ``year_rule`` "exact" takes the row's own year, "latest" the
-    newest value not after it. Years past ``last_year`` (this year by default) look up
-    ``last_year``, so the expansion is bounded and no row is lost.
+    which adaptive execution does. Rows without a place are spread by a hash. ``year_rule`` "exact" takes the
+    row's own year, "latest" the newest value of each variable not after it: places carry their history in
+    order, and a row finds its year in it. Values after ``last_year`` count for no row.
     """
     if year_rule not in ("exact", "latest"):
         raise ValueError("year_rule must be 'exact' or 'latest'")
-    key = F.col(year)
-    if year_rule == "latest":
-        last_year = last_year or dt.date.today().year
-        key = F.least(key, F.lit(last_year))
-        wide = wide_values(values, variables, last_year)
-    else:
-        wide = wide_values(values, variables)
-    wide = wide.withColumnsRenamed({"geocode": "_geocode", "year": "_year"}).withColumn("_one", F.lit(0))
+    latest, key = year_rule == "latest", F.col(year)
     spread = rows.withColumn("_spread", spread_unless(F.col(geocode).isNotNull() & key.isNotNull(), rows))
-    same = (F.col(geocode) == F.col("_geocode")) & (key == F.col("_year")) & (F.col("_spread") == F.col("_one"))
-    return spread.join(broadcast_within(wide, broadcast_bytes), same, "left").drop("_geocode", "_year", "_spread", "_one")
+    same = (F.col(geocode) == F.col("_geocode")) & (F.col("_spread") == F.col("_one"))
+    if latest:
+        held = value_histories(values, variables).withColumnRenamed("geocode", "_geocode").withColumn("_one", F.lit(0))
+        nested = F.size("_history") * (_ELEMENT_BYTES * (2 + len(variables)))
+        joined = spread.join(broadcast_within(held, broadcast_bytes, nested), same, "left")
+        asked = F.least(key, F.lit(last_year)) if last_year is not None else key
+        return joined.withColumn("_found", F.when(key.isNotNull(), _as_of(F.col("_history"), asked))).select(
+            *rows.columns, *[F.col("_found")[name].alias(name) for name in variables.values()]
+        )
+    wide = wide_values(values, variables).withColumnsRenamed({"geocode": "_geocode", "year": "_year"}).withColumn("_one", F.lit(0))
+    joined = spread.join(broadcast_within(wide, broadcast_bytes), same & (key == F.col("_year")), "left")
+    return joined.drop("_geocode", "_year", "_spread", "_one")
 
 
 def join_spatially(

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tractline.functions.text import strip
 from tractline.functions.values import has_coordinates
+from tractline.operators.ranks import ranked_in_order
 from tractline.schemas import LOCATION_COLUMNS, require_location
 
 
@@ -37,15 +38,20 @@ def trim_text(df: DataFrame) -> DataFrame:
     )
 
 
-def build_location(*frames: DataFrame) -> DataFrame:
-    """Distinct LOCATION rows of every frame that has all the LOCATION columns, by location id.
+def distinct_location(*frames: DataFrame) -> DataFrame:
+    """Distinct LOCATION rows of every frame that has all the LOCATION columns.
 
     Every frame is reduced to distinct rows on the map side before anything is shuffled.
     """
     complete = [f.select(*LOCATION_COLUMNS) for f in frames if set(LOCATION_COLUMNS) <= set(f.columns)]
     if not complete:
         require_location([])
-    return distinct_rows(trim_text(union_vintages(*complete))).orderBy("location_id", *LOCATION_COLUMNS[1:])
+    return distinct_rows(trim_text(union_vintages(*complete)))
+
+
+def build_location(*frames: DataFrame) -> DataFrame:
+    """:func:`distinct_location` by location id. For one table over many deliveries see ``sinks.location_store``."""
+    return distinct_location(*frames).orderBy("location_id", *LOCATION_COLUMNS[1:])
 
 
 def in_row_order(df: DataFrame, row_id: str) -> DataFrame:
@@ -59,9 +65,10 @@ def in_visit_order(df: DataFrame) -> DataFrame:
 
 
 def page(df: DataFrame, order: tuple[str, ...], offset: int, rows: int = 100_000) -> DataFrame:
-    """One page of ``df`` in a total order, for looking at results.
+    """One page of ``df`` in a total order: ``rows`` rows after the first ``offset``.
 
-    Exporting everything page by page would sort everything for each page: use
-    :func:`tractline.sinks.files.write_category_batches` for that.
+    Rows are counted through by ranges in all tasks, so the rows before a page, however many, are neither
+    sorted nor skipped in one task. :func:`tractline.operators.ranks.paged` gives all pages at once.
     """
-    return df.orderBy(*order).offset(offset).limit(rows)
+    ranked = ranked_in_order(df, order, "_rank")
+    return ranked.where((F.col("_rank") >= offset) & (F.col("_rank") < offset + rows)).orderBy("_rank").drop("_rank")

@@ -50,28 +50,60 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as a table into the scratch folder and read again.
+
+    That cuts the lineage with files every executor can read, so a lost executor costs one task; it also
+    fixes generated ids, and gives later joins a plain scan whose exchange adaptive execution may split.
+    """
+    spark = df.sparkSession
+    folder = scratch_folder(spark, label)
+    df.write.parquet(folder)
+    written = spark.read.schema(df.schema).parquet(folder)
+    written.stored_at = folder
+    return written
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of ``stored`` frames that nothing reads any more; other frames are left alone."""
+    for frame in frames:
+        folder = frame.__dict__.get("stored_at")
+        if folder is not None:
+            delete_folder(frame.sparkSession, folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.sc().hadoopConfiguration()).delete(path, True)
+
+
 BROADCAST_BYTES = 128 * 1024 * 1024
 _ROW_BYTES, _FIELD_BYTES = 32, 16
 
 
-def broadcast_within(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def _bytes(df: DataFrame, nested: Column | None) -> Column:
+    """What a row takes in a broadcast table at most."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    fixed = F.lit(_ROW_BYTES + _FIELD_BYTES * len(df.schema.fields)).cast("bigint")
+    return reduce(lambda a, b: a + b, texts, fixed if nested is None else fixed + F.coalesce(nested, F.lit(0)))
+
+
+def broadcast_within(df: DataFrame, max_bytes: int = BROADCAST_BYTES, nested: Column | None = None) -> DataFrame:
     """``df`` with a broadcast hint only when measuring proves that it fits in ``max_bytes``.
 
     Rows are counted and text lengths added up, so neither many rows nor long texts slip through.
     Above the limit the join stays a shuffled one: a table that outgrows it costs time and never
     memory. The table is worked out once, into the scratch folder, and both measured and joined from
-    there. Tables with nested columns are not measured and so never hinted.
+    there. Tables with nested columns are measured only where ``nested`` gives the
+    bytes these take in a row.
     """
     fields = df.schema.fields
-    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)) for f in fields):
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)) for f in fields) and nested is None:
         return df
-    folder = scratch_folder(df.sparkSession, "measured")
-    df.write.parquet(folder)
-    df = df.sparkSession.read.schema(df.schema).parquet(folder)
-    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in fields if isinstance(f.dataType, T.StringType)]
-    length = reduce(lambda a, b: a + b, texts, F.lit(0).cast("bigint"))
-    rows, characters = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(length), F.lit(0))).first()
-    measured = rows * (_ROW_BYTES + _FIELD_BYTES * len(fields)) + characters
+    if max_bytes <= 0:
+        return df
+    df = stored(df, "measured")
+    (measured,) = df.agg(F.coalesce(F.sum(_bytes(df, nested)), F.lit(0))).first()
     return F.broadcast(df) if measured <= max_bytes else df
 
 

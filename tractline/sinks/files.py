@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tractline.functions.values import drop_work_columns, long_coordinate_names
 from tractline.operators.locations import build_location
+from tractline.operators.ranks import paged
 from tractline.schemas import INVALID
 
 BATCH_ROWS = 100_000
@@ -78,18 +79,19 @@ def write_category_batches(
     batch_rows: int = BATCH_ROWS,
     partitions: int | None = None,
 ) -> None:
-    """One folder per category, in files of at most ``batch_rows`` rows ordered by person and start.
+    """One folder per category and in it one per page, each a file of ``batch_rows`` rows ordered by person and start.
 
-    The range partitioning includes the visit id, so a person with very many visits is spread over
-    several ranges. ``partitions`` overrides the session's number of ranges.
+    Pages are numbered from 0 and every page but a category's last is full. Places in the order come from range
+    partitions, which include the visit id, so a person with very many visits is spread over several. A page
+    is then one task's work. ``partitions`` overrides the session's number of ranges.
     """
     check_target(path, input_path)
     order = ["person_id", "visit_start_date", "visit_occurrence_id"]
     (
-        df.repartitionByRange(*([partitions] if partitions else []), *order)
-        .sortWithinPartitions("category", *order)
-        .write.partitionBy("category")
-        .option("maxRecordsPerFile", batch_rows)
+        paged(df, order, batch_rows, ["category"], partitions)
+        .repartition("category", "page")
+        .sortWithinPartitions("category", "page", *order)
+        .write.partitionBy("category", "page")
         .csv(path, mode=mode, **_CSV)
     )
 
