@@ -73,3 +73,11 @@ def test_scores_against_a_plain_cosine(spark):
                     want[d.doc_id] = min(want.get(d.doc_id, (0, "")), (-score, name))
     got = {r.doc_id: (-r.score, r.licence) for r in QUERIES["op2_licences"](spark, folder).collect() if r.origin == "own"}
     assert got == want and len(want) > 2
+
+
+def test_columns_of_any_name_pass_through(spark):
+    rows = [("a/LICENSE", MIT, 1, "f", "k", "x"), ("a/b/c.py", "code", 2, "g", "l", "y")]
+    df = spark.createDataFrame(rows, "path string, text string, above int, folder string, key string, template string")
+    got = {r.path: r for r in licences.scan_licences(df).collect()}
+    assert got["a/b/c.py"].origin == "inherited" and got["a/b/c.py"].licensed_by == "a"
+    assert [tuple(got[r[0]])[:6] for r in rows] == rows

@@ -23,7 +23,8 @@ def plain(rows, min_words=5):
             places.append(((d is None, d or 0, pos), [w for w in re.split(r"[\x20\x09-\x0D]+", line) if w], line, d))
     out = {d: (None if t is None else [], 0) for d, t in rows}
     for place, words, line, d in places:
-        lost = len(words) >= min_words and any(q < place and len(v) >= min_words and within_one_edit(v, words) for q, v, *_ in places)
+        near = lambda v: v == words or min(len(v), len(words)) >= min_words and within_one_edit(v, words)  # noqa: B023, E731
+        lost = bool(words) and any(q < place and near(v) for q, v, *_ in places)
         kept, n = out[d]
         out[d] = (kept, n + 1) if lost else (kept + [line], n)
     return {d: (None if k is None else "\n".join(k), n) for d, (k, n) in out.items()}
@@ -56,7 +57,8 @@ def test_edges(spark):
     rows = [
         (1, None), (2, ""), (3, "\n\n"), (4, "short line"), (5, "short line\nshort line"), (6, long), (7, long + " more"),
         (8, "one two three four five\none two three four five"), (None, "one two three four FIVE"),
-        (9, "five four three two one"),
+        (9, "five four three two one"), (10, "word\n \n word\t\nother"), (11, "http://a.b/" + "c" * 9000), (12, "http://a.b/" + "c" * 9000),
+        (13, "你好世界"), (14, "你好世界\n你好"), (15, "short lines\nshort  line "),
     ]
     want = plain([r for r in rows if r[0] not in (6, 7)]) | {6: (long, 0), 7: ("", 1)}
     got, n = run(spark, rows)
@@ -70,3 +72,12 @@ def test_repeated_rows_and_no_rows(spark):
     alone = line_dedup.dedup_lines(spark.createDataFrame([row, row], SCHEMA)).collect()
     assert [r.text for r in alone] == [row[1]] * 2
     assert line_dedup.dedup_lines(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    """Each line's words come from the row that holds it, whichever row of the id that is."""
+    rows = [(1, "a b c d e f"), (1, "u v w x y z"), (2, "a b c d e q"), (3, "u v w x y q"), (None, "k l m n o p"), (None, "r s t u v w"), (4, "k l m n o p")]
+    got = line_dedup.dedup_lines(spark.createDataFrame([(d, t, 99, "x", 1) for d, t in rows], SCHEMA)).collect()
+    assert sorted((r.doc_id or 99, r.text) for r in got) == sorted(
+        [(1, "a b c d e f"), (1, "u v w x y z"), (2, ""), (3, ""), (99, ""), (99, "r s t u v w"), (4, "k l m n o p")]
+    )

@@ -1,5 +1,5 @@
 import corpus_pipeline
-from tests.llm import test_decontamination, test_line_dedup, test_packing, test_simhash
+from tests.llm import test_decontamination, test_line_dedup, test_packing, test_shingle_sets
 from tractline.llm import packing
 
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -39,11 +39,8 @@ def test_stages_against_plain_versions(spark, tmp_path):
     assert lines.columns == docs.columns
     assert got == {r[0]: (plain[r[0]][0], len(plain[r[0]][0]) if plain[r[0]][1] else r[4]) for r in kept}
 
-    prints = {i: test_simhash.plain_fingerprint(text, corpus_pipeline.NEAR_WORDS) for i, (text, _) in got.items()}
-    ids = sorted(prints)
-    groups = test_simhash.plain_groups([prints[i] for i in ids], corpus_pipeline.NEAR_BITS)
+    firsts = test_shingle_sets.plain_kept([(i, text) for i, (text, _) in sorted(got.items())])
     near = stages["near_dedup"](spark, lines, folder)
-    firsts = {ids[g] for g in groups}
     assert {r.doc_id for r in near.collect()} == firsts and near.count() == len(firsts) and near.columns == docs.columns
 
     leaks = {x[0] for x in test_decontamination.plain([(i, got[i][0]) for i in firsts], bench)}

@@ -62,3 +62,11 @@ def test_query_over_the_whole_table(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
     got = {tuple(r) for r in QUERIES["op6_topk"](spark, folder).select("query_id", "rank", "vec_id", "score").collect()}
     assert got == plain(rows, [i for i, _ in rows if i % 20 == 0], 20)
+
+
+def test_an_unusable_row_displaces_no_other_of_its_id(spark):
+    for bad in (None, [None, 1.0], [float("nan"), 1.0]):
+        rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0])] + [(3, bad)] * 20 + [(3, [3.0, 0.0])] + [(3, bad)] * 20
+        df = spark.createDataFrame([(i, v, 1, "x") for i, v in rows], SCHEMA).repartition(4)
+        got = topk.top_products(df, df.filter("vec_id IN (1, 3)"), 5).collect()
+        assert {(r.query_id, r.vec_id) for r in got} == {(1, 2), (1, 3), (3, 1), (3, 2)}

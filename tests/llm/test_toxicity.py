@@ -1,6 +1,7 @@
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -88,3 +89,10 @@ def test_held_out_accuracy_over_the_whole_table(spark):
     rows = got.join(labels, "doc_id").filter("held_out").select("toxic", "predicted").collect()
     hits = sum(r.toxic and r.predicted for r in rows)
     assert hits >= 0.85 * sum(r.toxic for r in rows) and hits >= 0.9 * sum(r.predicted for r in rows)
+
+
+def test_rows_of_separators_take_no_time(model):
+    for text in ("a" + "." * 10_000 + "12", "Chapter one " + "." * 500 + " 7", "-_." * 5000 + "x", "a. " * 5000 + "word", "_" * 9000):
+        began = time.perf_counter()
+        list(t._restored(text, model, {}))
+        assert time.perf_counter() - began < 15

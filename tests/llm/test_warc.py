@@ -72,3 +72,40 @@ def test_foreign_archives(spark, tmp_path):
     (tmp_path / "b.warc.gz").write_bytes(gzip.compress(info) + gzip.compress(record))
     rows = warc.read_pages(warc.read_records(spark, str(tmp_path))).collect()
     assert [bytes(r.payload) for r in rows] == [b"body"] * 2
+
+
+def test_broken_archives_are_not_whole_and_end_nothing(spark, tmp_path):
+    def record(headers, block=b"", length=None):
+        lines = [b"WARC/1.1", b"WARC-Type: response", *headers, b"Content-Length: %d" % (len(block) if length is None else length)]
+        return b"\r\n".join(lines) + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+    def chunked(body):
+        return b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + body
+
+    good = record([b"Page-Id: 1"], chunked(b"3\r\nabc\r\n0\r\n\r\n"))
+    broken = [
+        record([b"Page-Id: 2"], chunked(b"3\r\nabc")),
+        record([b"Page-Id: 3"], chunked(b"zz\r\nabc\r\n0\r\n\r\n")),
+        record([b"Page-Id: 4"], chunked(b"ffff\r\nabc\r\n0\r\n\r\n")),
+        record([b"Page-Id: 5", b"WARC-Segment-Number: x", b"WARC-Segment-Total-Length: y"], chunked(b"-1\r\n")),
+        b"WARC/1.1\r\nWARC-Type: response\r\nPage-Id: 6\r\n\r\nno length\r\n\r\n",
+        b"WARC/1.1\r\nWARC-Type: response\r\nPage-Id: 7\r\nContent-Length: many\r\n\r\nx\r\n\r\n",
+    ]
+    folder = tmp_path / "warc"
+    folder.mkdir()
+    (folder / "a.warc").write_bytes(b"".join(broken) + good + b"WARC/1.1\r\nWARC-Type: resp")
+    (folder / "b.warc").write_bytes(record([b"Page-Id: 8"], b"cut short", 5000))
+    (folder / "c.warc.gz").write_bytes(gzip.compress(good * 50)[:-30])
+    (folder / "d.warc.gz").write_bytes(b"\x1f\x8bnot gzip at all")
+    (folder / "e.warc").write_bytes(b"")
+    got = [r for r in warc.read_pages(warc.read_records(spark, str(folder))).collect()]
+    assert {r.page_id for r in got if not r.whole} >= {str(i) for i in range(2, 9)}
+    assert all(r.payload is None for r in got if not r.whole)
+    assert {(r.page_id, bytes(r.payload)) for r in got if r.whole} == {("1", b"abc")}
+
+
+def test_cuts_of_bytes_that_are_no_text():
+    for data in (b"\x80" * 5000, b"a" + b"\xbf" * 4096, "é𝄞".encode() * 999, b""):
+        for size in (1, 3, 4096):
+            pieces = list(warc._cuts(data, size))
+            assert b"".join(pieces) == data and all(0 < len(p) <= size for p in pieces)

@@ -7,31 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tractline.session import scratch_folder
+from tractline.session import discard, stored
 
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written as a table below ``spark.checkpoint.dir`` and read again.
-
-    That cuts the lineage with files every executor can read, so a lost executor costs one task;
-    it also fixes generated ids, and gives later joins a plain scan whose exchange adaptive
-    execution may split when a key is hot.
-    """
-    spark = df.sparkSession
-    folder = scratch_folder(spark, label)
-    df.write.parquet(folder)
-    written = spark.read.schema(df.schema).parquet(folder)
-    written.stored_at = folder
-    return written
-
-
-def discard(*frames: DataFrame) -> None:
-    """Delete the folders of ``stored`` frames that nothing reads any more; other frames are left alone."""
-    for frame in frames:
-        folder = frame.__dict__.get("stored_at")
-        if folder is not None:
-            path = frame.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(frame.sparkSession._jsc.sc().hadoopConfiguration()).delete(path, True)
+__all__ = ["discard", "ranked", "share", "stored"]
 
 
 def ranked(df: DataFrame, groups: Sequence[str], order: Sequence[str], rank: str, buckets: int = 256) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tractline.llm.common import stored
+from tractline.session import broadcast_within
 
 #: With these, no placing of floor(L / 5) differing words in any window of L = 8 to 20 words avoids a hit.
 MASKS = ("111011", "11001011", "11111")
@@ -79,7 +80,10 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = stored(hits, "leak-hits").join(items.withColumnRenamed("words", "item_words"), "item")
     placed = F.struct("item_id", "start", "item_words")
     by_doc = hits.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(placed).alias("hits"))
-    held = docs.select("doc_id", "text").join(by_doc, F.col("doc_id").eqNullSafe(F.col("_doc")))
+    # Few documents have hits; while their ids are few enough to be sent around, no other text is shuffled.
+    asked = broadcast_within(hits.select(F.col("doc_id").alias("_hit")).distinct())
+    held = docs.select("doc_id", "text").join(asked, F.col("doc_id").eqNullSafe(F.col("_hit")), "left_semi")
+    held = held.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_doc")))
     held = held.select("doc_id", "hits", words_of(F.col("text")).alias("words"))
     scored = F.transform(
         "hits",
@@ -99,7 +103,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a passage of ``benchmark``; all their columns stay."""
-    leaks = find_passages(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct()
+    leaks = broadcast_within(find_passages(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct())
     return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tractline.llm.common import stored
+from tractline.llm.common import discard, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -27,13 +27,17 @@ def components(edges: DataFrame) -> DataFrame:
         steps = stored(least.select(F.col("a").alias("node"), F.least("near", "own")["b"].alias("to")), "graph-steps")
         left = steps.select(F.col("node").alias("a"), F.col("to").alias("u"))
         right = steps.select(F.col("node").alias("b"), F.col("to").alias("v"))
-        edges = edges.join(left, "a").join(right, "b").filter("u <> v")
-        edges = stored(edges.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "graph-edges")
+        moved = edges.join(left, "a").join(right, "b").filter("u <> v")
+        moved = stored(moved.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct(), "graph-edges")
+        discard(edges)
+        edges, before = moved, labels
         if labels is None:
             labels = steps.select("node", F.col("to").alias("root"))
         else:
             moved = steps.select(F.col("node").alias("root"), "to")
             labels = labels.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
         labels = stored(labels, "graph-labels")
+        discard(steps, *([] if before is None else [before]))
         turn += 1
+    discard(edges)
     return labels

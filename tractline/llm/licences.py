@@ -144,23 +144,23 @@ def scan_licences(files: DataFrame, similarity: float = SIMILARITY) -> DataFrame
 
     declared = own.filter("as_file").join(light, "key").filter("path IS NOT NULL")
     best = F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b")
-    by_folder = declared.groupBy(_folder(F.col("path")).alias("above")).agg(best)
-    folders = light.filter("path IS NOT NULL").select(_folder(F.col("path")).alias("folder")).distinct()
-    steps = F.split("folder", "/")
+    by_folder = declared.groupBy(_folder(F.col("path")).alias("_above")).agg(best)
+    folders = light.filter("path IS NOT NULL").select(_folder(F.col("path")).alias("_dir")).distinct()
+    steps = F.split("_dir", "/")
     upward = F.transform(F.sequence(F.lit(0), F.size(steps)), lambda n: F.array_join(F.slice(steps, F.lit(1), n), "/"))
-    above = folders.select("folder", F.explode(F.array_distinct(upward)).alias("above"))
-    nearest = Window.partitionBy("folder").orderBy(F.length("above").desc())
-    given = above.join(by_folder, "above").withColumn("n", F.row_number().over(nearest)).filter("n = 1")
-    given = stored(given.select("folder", "above", F.col("b.licence").alias("_l"), (-F.col("b.s")).alias("_s")), "licence-folders")
+    above = folders.select("_dir", F.explode(F.array_distinct(upward)).alias("_above"))
+    nearest = Window.partitionBy("_dir").orderBy(F.length("_above").desc())
+    given = above.join(by_folder, "_above").withColumn("n", F.row_number().over(nearest)).filter("n = 1")
+    given = stored(given.select("_dir", "_above", F.col("b.licence").alias("_l"), (-F.col("b.s")).alias("_s")), "licence-folders")
 
     mine = own.select(F.col("key").alias("_key"), F.col("licence").alias("_own"), F.col("score").alias("_score"))
     rows = files.withColumn("_k", key).withColumn("_folder", _folder(F.col("path")))
-    rows = rows.join(mine, F.col("_k") == F.col("_key"), "left").join(given, F.col("_folder") == F.col("folder"), "left")
+    rows = rows.join(mine, F.col("_k") == F.col("_key"), "left").join(given, F.col("_folder") == F.col("_dir"), "left")
     has = F.col("_own").isNotNull()
     return rows.select(
         *files.columns,
         F.coalesce("_own", "_l").alias("licence"),
         F.when(has, F.col("_score")).otherwise(F.col("_s")).alias("score"),
         F.when(has, F.lit("own")).when(F.col("_l").isNotNull(), F.lit("inherited")).alias("origin"),
-        F.when(has, F.col("path")).otherwise(F.col("above")).alias("licensed_by"),
+        F.when(has, F.col("path")).otherwise(F.col("_above")).alias("licensed_by"),
     )

@@ -12,16 +12,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tractline.llm.common import stored
+from tractline.llm.common import discard, stored
 
-#: Lines of fewer words are left alone: one edit is then more than a fifth of the line.
+#: Shorter lines must be equal: one edit is then more than a fifth of the line.
 MIN_WORDS = 5
 SPACE = "[\\x20\\x09-\\x0D]+"
 _HASH_MASK = (1 << 40) - 1
 
 
-def words_of(line: Column) -> Column:
-    return F.filter(F.split(line, SPACE), lambda w: w != "")
+_BLANKS = " \t\n\x0b\x0c\r"
+
+
+def plain(line: Column) -> Column:
+    """The words of a line with one space between them."""
+    return F.regexp_replace(F.btrim(line, F.lit(_BLANKS)), SPACE, " ")
 
 
 def _code(position: Column, line_hash: Column) -> Column:
@@ -44,36 +48,42 @@ def _halves(words: Column, n: Column) -> Column:
 
 
 def distinct_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per distinct line of ``min_words`` words or more: its first place and its half keys."""
+    """One row per distinct line that is not blank: its first place and, from ``min_words`` words on, its half keys."""
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.select("doc_id", "pos", words_of(F.col("line")).alias("words"))
-    lines = lines.withColumn("n", F.size("words")).filter(F.col("n") >= min_words)
+    lines = lines.select("doc_id", "pos", plain(F.col("line")).alias("line")).filter("line <> ''")
+    lines = lines.withColumn("words", F.split("line", " ")).withColumn("n", F.size("words"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "pos")
-    first = lines.groupBy(F.xxhash64("words").alias("h1"), F.hash("words").alias("h2"), "n").agg(
-        F.min(place).alias("place"), F.first(_halves(F.col("words"), F.col("n"))).alias("halves")
+    halves = F.when(F.col("n") >= min_words, _halves(F.col("words"), F.col("n")))
+    first = lines.groupBy(F.xxhash64("line").alias("h1"), F.hash("line").alias("h2"), "n").agg(
+        F.min(place).alias("place"), F.first(halves).alias("halves")
     )
     return first.select("n", "h1", "place", "halves", F.monotonically_increasing_id().alias("line_id"))
 
 
 def _with_partner(lines: DataFrame) -> DataFrame:
-    """``line_id``, ``place`` of the lines that share a half with another one."""
+    """``line_id``, ``place``, ``n``, ``h1`` of the lines that share a half with another one."""
     halves = lines.select("line_id", F.explode("halves").alias("half"))
     shared = stored(halves.groupBy("half").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("half"), "lines-halves")
-    return halves.join(shared, "half").select("line_id").distinct().join(lines.select("line_id", "place", "n"), "line_id")
+    found = halves.join(shared, "half").select("line_id").distinct()
+    found = stored(found.join(lines.select("line_id", "place", "n", "h1"), "line_id"), "lines-partners")
+    discard(shared)
+    return found
 
 
 def _texts(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """``lines`` with their ``words``, taken from the documents they first stand in."""
-    wanted = lines.groupBy(F.col("place.doc_id").alias("_doc")).agg(F.collect_list(F.struct("line_id", "place", "n")).alias("wanted"))
+    held = F.collect_list(F.struct("line_id", "place", "n", "h1"))
+    wanted = lines.groupBy(F.col("place.doc_id").alias("_doc")).agg(held.alias("wanted"))
     held = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_doc")))
     all_lines = F.split("text", "\n")
     picked = F.inline(
-        F.transform("wanted", lambda w: F.struct(w.line_id, w.place, w.n, F.get("_lines", w.place.pos).alias("line")))
+        F.transform("wanted", lambda w: F.struct(w.line_id, w.place, w.n, w.h1, F.get("_lines", w.place.pos).alias("line")))
     )
     found = held.select("wanted", all_lines.alias("_lines")).select(picked)
-    found = found.select("line_id", "place", "n", words_of(F.col("line")).alias("words"))
-    # Of rows that repeat a doc_id, only those that hold the line can give it.
-    return found.filter(F.size("words") == F.col("n")).dropDuplicates(["line_id"])
+    found = found.withColumn("line", plain(F.col("line")))
+    # Of rows that repeat a doc_id, only those that hold the line itself can give it.
+    found = found.filter(F.xxhash64("line") == F.col("h1")).dropDuplicates(["line_id"])
+    return found.select("line_id", "place", "n", F.split("line", " ").alias("words"))
 
 
 def _neighbourhood(lines: DataFrame) -> DataFrame:
@@ -112,7 +122,10 @@ def near_duplicates(lines: DataFrame) -> DataFrame:
     longer = lacking.select("rest", F.col("line_id").alias("id1"), F.col("place").alias("place1"))
     shorter = whole.filter("i = 0").select("rest", F.col("line_id").alias("id2"), F.col("place").alias("place2"))
     later = F.when(F.col("place1") > F.col("place2"), F.col("id1")).otherwise(F.col("id2"))
-    return replaced.unionByName(longer.join(shorter, "rest").select(later.alias("line_id"))).distinct()
+    inserted = longer.join(shorter, "rest").select(later.alias("line_id"))
+    found = stored(replaced.unionByName(inserted).distinct(), "lines-dropped")
+    discard(shared, whole, groups)
+    return found
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -120,24 +133,27 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     An edit inserts, drops or replaces one word; words end at ASCII white space. Earlier means a smaller
     ``doc_id`` (null last), then an earlier line of the text; whether the earlier line itself stays does not
-    matter. Lines of fewer than ``min_words`` words stay. Rows are never dropped: a text may become empty.
-    A null text stays null and removes 0 lines. Rows with the same ``doc_id`` count as one document, whose
-    lines at the same place are never earlier than each other, so repeated rows keep the same lines. Other
-    columns pass through, but for one called ``lines_removed``.
+    matter. Lines of fewer than ``min_words`` words go only if their words are equal to an earlier line's; lines
+    without a word stay. Rows are never dropped: a text may become empty. A null text stays null and removes
+    0 lines. Rows with the same ``doc_id`` count as one document, whose lines at the same place are never earlier
+    than each other, so repeated rows keep the same lines. Other columns pass through, but for one called
+    ``lines_removed``.
     """
     lines = stored(distinct_lines(docs, min_words), "lines-distinct")
-    candidates = stored(_texts(docs, _with_partner(lines)), "lines-texts")
+    partners = _with_partner(lines)
+    candidates = stored(_texts(docs, partners), "lines-texts")
     dropped = near_duplicates(candidates)
     kept = lines.select("line_id", "place", "h1").join(dropped, "line_id", "left_anti")
     codes = F.collect_list(_code(F.col("place.pos"), F.col("h1"))).alias("_kept")
-    kept = kept.groupBy(F.col("place.doc_id").alias("_doc")).agg(codes)
+    kept = stored(kept.groupBy(F.col("place.doc_id").alias("_doc")).agg(codes), "lines-kept")
+    discard(lines, partners, candidates, dropped)
     held = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").withColumn("_all", F.split("text", "\n"))
-    # One pass splits the words; functions of an array's elements do not share work.
-    split = F.transform("_all", words_of)
-    short = F.lit(None).cast("bigint")
-    held = held.withColumn("_words", split).withColumn(
-        "_codes", F.transform("_words", lambda w, i: F.when(F.size(w) < min_words, short).otherwise(_code(i, F.xxhash64(w))))
-    )
+
+    def code(line: Column, at: Column) -> Column:
+        return F.when(line != "", _code(at, F.xxhash64(line)))
+
+    # Each step is named, as functions of an array's elements do not share work.
+    held = held.withColumn("_plain", F.transform("_all", plain)).withColumn("_codes", F.transform("_plain", code))
     stay = lambda _, i: F.coalesce(F.array_contains("_kept", F.get("_codes", i)), F.get("_codes", i).isNull())
     held = held.withColumn("_left", F.filter("_all", stay))
     removed = F.coalesce(F.size("_all") - F.size("_left"), F.lit(0))
@@ -153,11 +169,11 @@ WITH lines AS (
                  generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)),
 firsts AS (
     SELECT words, len(words) AS n, min({'d': doc_id, 'p': pos}) AS place
-    FROM lines WHERE len(words) >= 5 GROUP BY words),
+    FROM lines WHERE len(words) > 0 GROUP BY words),
 members AS (
     SELECT words, n, place, i,
            array_to_string(list_concat(words[1:greatest(i - 1, 0)], words[i + 1:]), ' ') AS rest
-    FROM (SELECT *, unnest(range(0, n + 1)) AS i FROM firsts)),
+    FROM (SELECT *, unnest(range(0, n + 1)) AS i FROM firsts WHERE n >= 5)),
 substituted AS (
     SELECT words FROM (SELECT words, place, min(place) OVER (PARTITION BY n, i, rest) AS first FROM members WHERE i > 0)
     WHERE place > first),
@@ -168,7 +184,7 @@ kept AS (
     SELECT place.d AS doc_id, place.p AS pos FROM firsts
     WHERE words NOT IN (SELECT words FROM substituted UNION SELECT words FROM inserted)),
 marked AS (
-    SELECT l.doc_id, l.pos, l.line, len(l.words) < 5 OR k.pos IS NOT NULL AS stays
+    SELECT l.doc_id, l.pos, l.line, len(l.words) = 0 OR k.pos IS NOT NULL AS stays
     FROM lines l LEFT JOIN kept k ON l.doc_id = k.doc_id AND l.pos = k.pos)
 SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '') AS text,
        CAST(count(*) FILTER (NOT stays) AS INTEGER) AS lines_removed

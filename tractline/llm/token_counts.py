@@ -158,7 +158,8 @@ def count_tokens(docs: DataFrame, model: str, limit: int = LIMIT) -> DataFrame:
     parts = PreTokens(Path(model).read_bytes())
     pieces = piece_counts(docs, parts)
     hot = frequent(pieces, HOT_PARTS)
-    known = docs.sparkSession.sparkContext.broadcast({r.part: r.pieces for r in pieces.filter(hot).collect()})
+    counts = pieces.filter(hot).select("part", "pieces").toArrow()
+    known = docs.sparkSession.sparkContext.broadcast(dict(zip(*(c.to_pylist() for c in counts.columns), strict=True)))
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["row_id", "doc_id", "n_bytes", "n_tokens", "part", "times"]
 

@@ -178,13 +178,13 @@ def top_products(vectors: DataFrame, queries: DataFrame, top: int = TOP, scale:
     ``vectors`` and ``queries`` have ``vec_id`` and ``embedding``; components are multiplied by ``scale`` and
     rounded down. Candidates are all vectors but those with the query's own id; ties go to the smaller id; fewer
     candidates give fewer rows. Vectors that are null, or hold a null or a number that is not finite, take no
-    part, neither do rows with a null ``vec_id``. Rows that repeat an id are one vector. All vectors have one
+    part, neither do rows with a null ``vec_id``. Of usable rows that repeat an id one counts. All vectors have one
     length. Other columns are not read.
     """
     spark = vectors.sparkSession
     columns = ["vec_id", "embedding"]
-    data = usable(vectors.select(columns).filter("vec_id IS NOT NULL").dropDuplicates(["vec_id"]), scale)
-    asked = usable(queries.select(columns).filter("vec_id IS NOT NULL").dropDuplicates(["vec_id"]), scale)
+    data = usable(vectors.select(columns).filter("vec_id IS NOT NULL"), scale).dropDuplicates(["vec_id"])
+    asked = usable(queries.select(columns).filter("vec_id IS NOT NULL"), scale).dropDuplicates(["vec_id"])
     data = stored(data, "topk-vectors")
     cells = min(max(1, data.count() // BLOCK), PIVOTS * ANNULI)
     count = min(PIVOTS, math.ceil(math.sqrt(cells)))

@@ -22,8 +22,6 @@ from tractline.llm.common import stored
 
 #: Labelled documents per class, picked by a hash of the id, that the word weights are learned from.
 SAMPLE = 10_000
-#: At most so many words and word beginnings have a weight.
-LEXICON = 5_000
 _CACHE = 400_000
 
 # What a sign may stand for.
@@ -35,7 +33,8 @@ _SIGNS = {
 _EDGE, _OTHER, _SIZE = 0, 27, 28
 _NOTHING, _REPEAT, _SPLIT, _SIGN = -0.2, -0.4, -3.0, -1.0
 _ODD = re.compile(r"[^\W\d_][^\w\s'’]+\w|[^\W\d_]\d|\d[^\W\d_]|[@$!|+€£¡][^\W_]|[^\W_][$@!|+€£¡]{1,2}$|([^\W\d_])\1\1|_")
-_SPACED = re.compile(r"(?<!\S)(?:[^\s][ \t.\-_]{1,3}){2,}[^\s](?!\S)")
+# A letter is no separator, so a row of separators can be read in one way only.
+_SPACED = re.compile(r"(?<!\S)(?:[^\s.\-_][ \t.\-_]{1,3}){2,}[^\s](?!\S)")
 _DOUBLE = re.compile(r"(.)\1+")
 _EDGES = ".,;:?\"'`’“”()[]{}<>«»#%&*~^=/\\-_"
 
@@ -220,8 +219,8 @@ def lexicon(docs: DataFrame, labels: DataFrame, model: list, sample: int = SAMPL
     rate = (F.col("toxic") - 2 * F.sqrt("toxic")) / used.get(1, 1) * (n_toxic / (n_toxic + n_clean))
     other = (F.col("clean") + 2 * F.sqrt(F.col("clean") + 1)) / used.get(0, 1) * (n_clean / (n_toxic + n_clean))
     weighed = counted.filter("toxic > 4").select("feature", "toxic", (rate / (rate + other)).alias("p")).filter("p > 0.5")
-    best = weighed.orderBy(F.desc("p"), "feature").limit(LEXICON)
-    best = best.collect()
+    # The sample bounds how many words there are.
+    best = weighed.collect()
     # A beginning counts only where no single word stands behind most of its documents.
     most: dict[str, int] = {}
     for row in best:

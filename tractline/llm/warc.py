@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -42,8 +43,10 @@ def _cuts(data: bytes, size: int) -> Iterator[bytes]:
     at = 0
     while at < len(data):
         end = min(at + size, len(data))
-        while end < len(data) and data[end] & 0xC0 == 0x80:
+        while at < end < len(data) and data[end] & 0xC0 == 0x80:
             end -= 1
+        # Bytes that are no UTF-8 have no better place to be cut.
+        end = end if end > at else min(at + size, len(data))
         yield data[at:end]
         at = end
 
@@ -121,28 +124,39 @@ def write_archives(pages: DataFrame, folder: str, segment_bytes: int = SEGMENT_B
 
 
 def _unzipped(data: bytes) -> bytes:
-    """The content of one or many gzip members; what is not gzipped stays."""
+    """The content of one or many gzip members; what is not gzipped stays, and so does what precedes a fault."""
     out = []
     while data[:2] == b"\x1f\x8b":
         member = zlib.decompressobj(31)
-        out.append(member.decompress(data) + member.flush())
+        try:
+            out.append(member.decompress(data) + member.flush())
+        except zlib.error:
+            return b"".join(out)
         data = member.unused_data
     return b"".join(out) + data
 
 
 def parse(data: bytes) -> Iterator[dict[str, object]]:
-    """Every record of an archive: the header fields that matter and the block, as long as it says."""
+    """Every record of an archive: the header fields that matter and the block, as long as it says.
+
+    A record without an end of its header or a usable length, or cut short, has a null block; the search goes
+    on behind its header. Segment numbers and totals that are no numbers are null.
+    """
+    number = lambda x: int(x) if x and x.isascii() and x.isdigit() else None
     at = data.find(b"WARC/")
     while 0 <= at < len(data):
-        end = data.index(_END, at)
+        end = data.find(_END, at)
+        if end < 0:
+            return
         fields = (line.partition(":") for line in data[at:end].decode("utf-8", "replace").split("\r\n")[1:])
         fields = {k.strip().lower(): v.strip() for k, _, v in fields}
         start = end + len(_END)
-        stop = start + int(fields["content-length"])
+        length = number(fields.get("content-length"))
+        broken = length is None or start + length > len(data)
         row = {name: fields.get(key) for key, name in _NAMES.items()}
-        row |= {k: int(row[k]) if row[k] else None for k in ("segment", "total")}
-        yield row | {"block": data[start:stop]}
-        at = data.find(b"WARC/", stop)
+        row |= {k: number(row[k]) for k in ("segment", "total")}
+        yield row | {"block": None if broken else data[start : start + length]}
+        at = data.find(b"WARC/", start if broken else start + length)
 
 
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
@@ -155,7 +169,7 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
                 out, size = [], 0
                 for row in parse(_unzipped(content.as_py())):
                     out.append(row)
-                    size += len(row["block"])
+                    size += len(row["block"] or b"")
                     if size > _BATCH_BYTES:
                         yield pa.RecordBatch.from_pylist(out, schema)
                         out, size = [], 0
@@ -164,17 +178,22 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").load(folder).select("content").mapInArrow(scan, _PARSED)
 
 
-def dechunk(message: bytes) -> bytes:
-    """The body of an HTTP message, without chunked framing if it says that it has one."""
+def dechunk(message: bytes) -> bytes | None:
+    """The body of an HTTP message, without chunked framing if it says that it has one; None if that is broken."""
     head, _, body = message.partition(_END)
     if b"transfer-encoding: chunked" not in head.lower():
         return body
     out, at = [], 0
     while True:
-        end = body.index(b"\r\n", at)
-        size = int(body[at:end].split(b";")[0], 16)
+        end = body.find(b"\r\n", at)
+        digits = body[at:end].split(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9a-fA-F]{1,15}", digits):
+            return None
+        size = int(digits, 16)
         if not size:
             return b"".join(out)
+        if end + 2 + size > len(body):
+            return None
         out.append(body[end + 2 : end + 2 + size])
         at = end + 2 + size + 2
 
@@ -182,8 +201,8 @@ def dechunk(message: bytes) -> bytes:
 def read_pages(records: DataFrame) -> DataFrame:
     """Responses and revisits with their ``payload``; a revisit has none of its own.
 
-    ``whole`` is false, and the payload null, where segments are missing, the length is not the stated total
-    or the payload does not have the stated digest.
+    ``whole`` is false, and the payload null, where a record is broken or cut short, segments are missing, the
+    length is not the stated total, the chunked framing is broken or the payload does not have the stated digest.
     """
     held = records.filter(F.col("type").isin("response", "revisit", "continuation"))
     alone = held.filter("segment IS NULL").withColumn("parts", F.array(F.struct(F.lit(1).alias("segment"), "block")))
@@ -201,15 +220,16 @@ def read_pages(records: DataFrame) -> DataFrame:
             out, size = [], 0
             for row in batch.to_pylist():
                 parts, total = row.pop("parts"), row.pop("total")
-                message = b"".join(p["block"] for p in parts)
+                message = b"".join(p["block"] or b"" for p in parts)
                 row["payload"] = None
                 row["whole"] = [p["segment"] for p in parts] == list(range(1, len(parts) + 1)) and total in (None, len(message))
-                row["whole"] &= len(parts) == 1 or total is not None
+                row["whole"] &= (len(parts) == 1 or total is not None) and all(p["block"] is not None for p in parts)
                 if row["whole"] and row["type"] == "response":
                     payload = dechunk(message)
-                    row["whole"] = row["digest"] in (None, "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode())
+                    digest = payload is not None and "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
+                    row["whole"] = payload is not None and row["digest"] in (None, digest)
                     row["payload"] = payload if row["whole"] else None
-                    size += len(payload)
+                    size += len(payload or b"")
                 out.append(row)
                 if size > _BATCH_BYTES:
                     yield pa.RecordBatch.from_pylist(out, schema)
