@@ -1024,6 +1024,48 @@ def _(d):
     return locations.union_vintages(*shapes)
 
 
+@query(
+    "src_csv_malformed",
+    over(
+        "coordinates",
+        "SELECT 'read' AS status, count(*) AS n_rows FROM coordinates WHERE entity_id % 50 > 1 "
+        "UNION ALL SELECT 'malformed', count(*) FROM coordinates WHERE entity_id % 50 = 0",
+    ),
+)
+def _(d):
+    """A file in which some rows have a separator too many is rejected whole; the others are read."""
+    folder, rows = _scratch(d, "malformed"), d["coordinates"]
+    part = F.col("entity_id") % 50
+    rows.where(part > 1).write.csv(folder, header=True)
+    shifted = F.when(part == 0, F.concat("year", F.lit(",x"))).otherwise(F.col("year").cast("string"))
+    # Without quotes the separator in the text becomes one of the row's.
+    mixed = rows.where(part <= 1).withColumn("year", shifted).coalesce(1)
+    mixed.write.option("quote", "").csv(folder, header=True, mode="append")
+    scan = csv_folder.scan_folder(d.spark, folder)
+    (read,) = scan.frames.values()
+    rejected = [(int(reason.rsplit(": ", 1)[1]),) for reason in scan.rejected.values()]
+    bad = d.spark.createDataFrame(rejected, "n bigint").agg(F.sum("n").alias("n_rows"))
+    counted = read.agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.select(F.lit("read").alias("status"), "n_rows").unionByName(bad.select(F.lit("malformed").alias("status"), "n_rows"))
+
+
+@query(
+    "src_omop_id_ranges",
+    """WITH shares AS (SELECT l_partkey AS k, ntile(16) OVER (ORDER BY l_partkey) AS share_no FROM lineitem),
+lows AS (SELECT DISTINCT min(k) OVER (PARTITION BY share_no) AS low FROM shares),
+ranges AS (SELECT row_number() OVER (ORDER BY low) - 1 AS id_range, low, lead(low) OVER (ORDER BY low) AS high FROM lows)
+SELECT CAST(id_range AS INTEGER) AS id_range, count(*) AS n_rows
+FROM ranges JOIN lineitem ON l_partkey >= low AND (high IS NULL OR l_partkey < high) GROUP BY id_range""",
+)
+def _(d):
+    """Rows of each id range a table is read in; the ranges come from the text a database would get."""
+    rows = d["lineitem"].select("l_partkey")
+    cuts = d.spark.sql(tables.cuts_query("{rows}", "l_partkey", 16), rows=rows).collect()
+    ranges = tables.range_predicates("l_partkey", [r.low for r in cuts])
+    number = F.coalesce(*[F.when(F.expr(p), i) for i, p in enumerate(ranges)])
+    return rows.groupBy(number.alias("id_range")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query(
     "src_header_normalize",
     over("coordinates", "SELECT entity_id, year, latitude, longitude FROM coordinates"),

@@ -116,7 +116,7 @@ def test_category_batches_are_paged_and_ordered(spark, tmp_path):
     target = tmp_path / "batches"
     files.write_category_batches(rows, str(target), batch_rows=40)
     total = 0
-    for part in target.glob("category=*/*.csv"):
+    for part in target.glob("category=*/page=*/*.csv"):
         lines = part.read_text().splitlines()[1:]
         assert len(lines) <= 40
         keys = [(int(p), d, int(v)) for p, d, v in (line.split(",") for line in lines)]
@@ -154,11 +154,31 @@ def test_tables_from_parquet(spark, tmp_path):
 
 
 def test_database_source_refuses_secrets_in_the_url(spark):
-    bounds = {name: (0, 1) for name in tables.CDM_TABLES}
     with pytest.raises(ValueError):
-        tables.read_database_tables(spark, "jdbc:x:y;password=z", {}, bounds)
-    with pytest.raises(ValueError):
-        tables.read_database_tables(spark, "jdbc:x:y", {}, {})
+        tables.read_database_tables(spark, "jdbc:x:y;password=z", {})
+
+
+@pytest.mark.parametrize(
+    "ids",
+    [
+        [1] * 500 + list(range(2, 400)),
+        [None] * 50 + list(range(0, 10**9, 10**6)),
+        [7] * 30,
+        [None],
+        [],
+        [2**62, -5, 3],
+    ],
+)
+def test_id_ranges_hold_every_row_once(spark, ids):
+    df = spark.createDataFrame([(i,) for i in ids], "k bigint")
+    cuts = [r.low for r in spark.sql(tables.cuts_query("{df}", "k", 8), df=df).collect()]
+    ranges = tables.range_predicates("k", cuts)
+    counts = [df.where(p).count() for p in ranges]
+    assert sum(counts) == len(ids) and len(ranges) <= 8
+    known = [i for i in ids if i is not None]
+    most = max((known.count(i) for i in set(known)), default=0)
+    # No range is larger than two shares and the most frequent id, which no condition on ids can split.
+    assert max(counts) <= 2 * (len(known) / 8 + 1) + most + ids.count(None)
 
 
 def test_scratch_and_broadcast_limits(spark):
@@ -171,3 +191,42 @@ def test_scratch_and_broadcast_limits(spark):
     long_text = spark.range(1).select(F.repeat(F.lit("x"), 5000).alias("t"))
     assert hinted(long_text, 5048) and not hinted(long_text, 5047)
     assert not hinted(spark.range(1).select(F.array("id")), 10**9)
+
+
+def test_malformed_rows_reject_their_file(spark, tmp_path):
+    def put(name, text):
+        (tmp_path / name).write_text(text)
+
+    put("good.csv", 'street,city,state,zip,year,entity_id\n"1 A St, ""x"", #2",Town,FL,02139,2019,1\n2 B St,Town,FL,,,2\n')
+    put("shifted.csv", "street,city,state,zip,year,entity_id\n1 A St, Unit 3,Town,FL,02139,2019,1\n2 B St,Town,FL,33127,2019,2\n")
+    put("trailing.csv", "address,year,entity_id\n1 A St,2019,1,\n1 B St,2019,2,,\n")
+    put("short.csv", "address,year,entity_id\n1 A St,2019\n")
+    put("header_only.csv", "address,year,entity_id\n")
+    scan = C.scan_folder(spark, str(tmp_path))
+    reasons = {p.rsplit("/", 1)[-1]: why for p, why in scan.rejected.items()}
+    assert reasons == {
+        "shifted.csv": "rows with more fields than the header: 1",
+        "trailing.csv": "rows with more fields than the header: 2",
+    }
+    multi = {r.entity_id: (r.street, r.city, r.source_file) for r in scan.frames[C.MULTI].collect()}
+    assert multi == {"1": ('1 A St, "x", #2', "Town", "good.csv"), "2": ("2 B St", "Town", "good.csv")}
+    assert [(r.address, r.year, r.entity_id) for r in scan.frames[C.SINGLE].collect()] == [("1 A St", "2019", None)]
+
+
+def test_only_the_beginnings_are_read_for_headers(spark, tmp_path):
+    for name in ("a b.csv", "c.csv"):
+        with open(tmp_path / name, "w") as file:
+            file.write("address,year,entity_id\n")
+            file.writelines(f"{i} Long Street Name Town FL 02139,2019,{i}\n" for i in range(200_000))
+    (tmp_path / "empty.csv").write_text("")
+    files_there = C.list_csv_files(spark, str(tmp_path))
+    statistics = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics
+    total = lambda: sum(x.getBytesRead() for x in statistics())
+    before = total()
+    headers = C.read_headers(spark, files_there)
+    read = total() - before
+    assert {p.rsplit("/", 1)[-1]: h for p, h in headers.items()} == {
+        "a%20b.csv": ["address", "year", "entity_id"], "c.csv": ["address", "year", "entity_id"], "empty.csv": [],
+    } or names(headers) == ["a b.csv", "c.csv", "empty.csv"]
+    assert sorted(map(len, headers.values())) == [0, 3, 3]
+    assert 0 < read < 2 * 64 * 1024, read

@@ -11,18 +11,18 @@ from tractline.operators.geocode import DEFAULT_THRESHOLD
 from tractline.operators.tracts import TractIndex, build_tract_index
 from tractline.operators.visits import DEFAULT_CUTOFF
 from tractline.plans.linkage import link_addresses, link_coordinates, link_visits, refresh_location
-from tractline.session import scratch_folder
+from tractline.session import discard, stored
 from tractline.sinks import files
+from tractline.sinks.location_store import LocationStore
 from tractline.sources.csv_folder import COORDINATES, LOCATION, LOCATION_HISTORY, MULTI, SINGLE, FolderScan, scan_folder
 from tractline.sources.tables import CdmTables
 from tractline.streaming.incremental import run_new_files
 
 
-def _once(df: DataFrame, label: str) -> DataFrame:
-    """``df`` worked out once for several writers, in the scratch folder."""
-    folder = scratch_folder(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+def _with_number_ids(df: DataFrame) -> DataFrame:
+    """LOCATION rows whose ids sort as the numbers they are, unless one is none."""
+    numbers = df.where(F.col("location_id").try_cast("bigint").isNull()).isEmpty()
+    return df.withColumn("location_id", F.col("location_id").try_cast("bigint")) if numbers else df
 
 
 def write_scan(
@@ -36,25 +36,30 @@ def write_scan(
     pivot: int = 2020,
     input_folder: str | None = None,
     mode: str = "errorifexists",
+    store: LocationStore | None = None,
+    delivery: str = "",
 ) -> None:
     """Link what a scan found and write it below ``output``.
 
     ``with_coordinates/<shape>`` and ``with_fips/<shape>`` hold one folder per source file, ``LOCATION``
-    and ``LOCATION_HISTORY`` the clinical tables, ``rejected`` the files that were not read and why.
+    and ``LOCATION_HISTORY`` the clinical tables, ``rejected`` the files that were not read and why. LOCATION
+    rows also join the table of a ``store`` as its ``delivery``. Scratch tables go when they are written out.
     """
     index = tracts if isinstance(tracts, TractIndex) else build_tract_index(tracts)
     for shape, df in scan.frames.items():
         if shape == COORDINATES:
             files.write_with_fips(link_coordinates(df, index, pivot), f"{output}/with_fips/{shape}", input_folder, mode)
         elif shape in (MULTI, SINGLE):
-            linked = _once(link_addresses(df, address_points, index, hospitals, threshold, pivot), f"linked-{shape}")
+            linked = stored(link_addresses(df, address_points, index, hospitals, threshold, pivot), f"linked-{shape}")
             files.write_with_coordinates(linked, f"{output}/with_coordinates/{shape}", input_folder, mode)
             files.write_with_fips(linked, f"{output}/with_fips/{shape}", input_folder, mode)
+            discard(linked)
         elif shape == LOCATION:
-            # Ids sort as the numbers they are, but an id that is none stays as it is.
-            numbers = df.where(F.col("location_id").try_cast("bigint").isNull()).isEmpty()
-            known = df.withColumn("location_id", F.col("location_id").try_cast("bigint")) if numbers else df
-            files.write_location(refresh_location(known, address_points, threshold), f"{output}/LOCATION", input_folder, mode)
+            refreshed = stored(refresh_location(df, address_points, threshold), "refreshed")
+            files.write_location(_with_number_ids(refreshed), f"{output}/LOCATION", input_folder, mode)
+            if store is not None:
+                store.merge(delivery, refreshed)
+            discard(refreshed)
         elif shape == LOCATION_HISTORY:
             files.write_location_history(df, f"{output}/LOCATION_HISTORY", input_folder, mode)
     if scan.rejected:
@@ -76,7 +81,8 @@ def run_folder(
     """Read every CSV file of ``folder``, link its rows and write all results below ``output``.
 
     With ``progress``, a checkpoint folder, only files that no earlier run finished are taken, and each
-    run's batches go to ``output/batch_id=<n>``.
+    run's batches go to ``output/batch_id=<n>``. The LOCATION rows of all runs make up one table, kept in
+    ``output/location_table`` and written as ``output/LOCATION`` when a run has added to it.
     """
     files.check_target(output, folder)
     index = tracts if isinstance(tracts, TractIndex) else build_tract_index(tracts)
@@ -86,10 +92,20 @@ def run_folder(
     if progress is None:
         write(scan_folder(spark, folder), output)
     else:
+        store = LocationStore(spark, f"{output}/location_table")
+        before = store.version()
         # A batch that failed half-way comes again with the same number and replaces what it wrote.
         run_new_files(
-            spark, folder, progress, lambda scan, batch: write(scan, f"{output}/batch_id={batch}", mode="overwrite")
+            spark,
+            folder,
+            progress,
+            lambda scan, batch: write(
+                scan, f"{output}/batch_id={batch}", mode="overwrite", store=store, delivery=f"batch-{batch}"
+            ),
         )
+        table = store.read()
+        if table is not None and store.version() > before:
+            files.write_location(_with_number_ids(table), f"{output}/LOCATION", folder, "overwrite")
 
 
 def run_cdm(
@@ -112,10 +128,11 @@ def run_cdm(
     linked = link_visits(
         cdm.person, cdm.visit, cdm.location, cdm.history, tracts, address_points, hospitals, threshold, cutoff, pivot, open_ended
     )
-    linked = _once(linked, "linked-visits")
+    linked = stored(linked, "linked-visits")
     files.write_category_batches(linked, f"{output}/categories")
     files.write_invalid(linked, f"{output}/invalid")
     files.write_with_coordinates(linked, f"{output}/with_coordinates")
     files.write_with_fips(linked, f"{output}/with_fips")
     files.write_location(linked, f"{output}/LOCATION")
     files.write_location_history(cdm.history, f"{output}/LOCATION_HISTORY")
+    discard(linked)

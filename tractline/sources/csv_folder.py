@@ -7,6 +7,7 @@ import posixpath
 import re
 from collections import defaultdict
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
@@ -17,6 +18,9 @@ from tractline.schemas import ADDRESS_PARTS, ContractError, require_location, re
 
 COORDINATES, SINGLE, MULTI = "coordinates", "single", "multi"
 LOCATION, LOCATION_HISTORY = "location", "location_history"
+#: Files open at once, and bytes a reader takes at once, when only headers are wanted.
+_OPEN_FILES, _HEAD_BYTES = 32, 1 << 13
+_AS_READ = "_row_as_read"
 
 # Field text that readers of such files take for a missing value, exactly as written.
 MISSING_MARKERS = (
@@ -104,23 +108,49 @@ def _plain(path: str) -> str:
 
 
 def read_headers(spark: SparkSession, files: list[str]) -> dict[str, list[str]]:
-    """The header line of every file, from one Spark job over the beginnings of the files.
+    """The header line of every file; a file without any line has an empty header.
 
-    Only the distinct lines come to the driver, each with the paths that have it. A file without any
-    line has an empty header.
+    A line reader opens each file through Spark's own file systems, a few at a time, and is closed after the
+    first line, so no more than a buffer of a file is read. It runs where the files are listed, in the
+    driver: a task has no way to stop Spark's readers after a file's beginning.
     """
-    if not files:
-        return {}
-    lines = spark.read.text(files).select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start")
+    jvm = spark._jvm
+    settings = spark._jsc.hadoopConfiguration()
+
+    def first_line(file: str) -> str:
+        path = jvm.org.apache.hadoop.fs.Path(file)
+        stream = path.getFileSystem(settings).open(path, _HEAD_BYTES)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"), _HEAD_BYTES)
+        try:
+            return reader.readLine() or ""
+        finally:
+            reader.close()
+
+    with ThreadPoolExecutor(_OPEN_FILES) as pool:
+        lines = dict(zip(files, pool.map(first_line, files)))
+    return {file: next(csv.reader([line.removeprefix("\ufeff")]), []) for file, line in lines.items()}
+
+
+def count_malformed(spark: SparkSession, files: list[str], n_columns: int, multi_line: bool = False) -> dict[str, int]:
+    """The files with rows of more fields than their header has, each with how many such rows.
+
+    Such a row has a separator too many, so its values stand under the wrong names. The reader marks every row
+    whose number of fields is not the header's; of those the fields outside quotes are counted. A row of
+    fewer fields only lacks its last values. Of all files the driver gets a row each at most.
+    """
+    names = [f"_c{i}" for i in range(n_columns)]
+    schema = ", ".join(f"{c} STRING" for c in [*names, _AS_READ])
+    # Without all columns the reader does not see how many fields there are.
+    df = spark.read.schema(schema).option("columnPruning", "false").csv(
+        files, header=True, multiLine=multi_line, escape='"', encoding="UTF-8", columnNameOfCorruptRecord=_AS_READ
     )
-    numbered = lines.where("start = 0").withColumn("at", F.monotonically_increasing_id())
-    first = numbered.groupBy("path").agg(F.min_by("value", "at").alias("line"))
-    known: dict[str, list[str]] = {}
-    for row in first.groupBy("line").agg(F.collect_list("path").alias("paths")).collect():
-        header = next(csv.reader([row.line.removeprefix("\ufeff")]), [])
-        known |= dict.fromkeys(map(_plain, row.paths), header)
-    return {file: known.get(_plain(file), []) for file in files}
+    fields = F.size(F.split(F.regexp_replace(_AS_READ, '"(?:[^"]|"")*"', ""), ",", -1))
+    counted = df.groupBy(F.col("_metadata.file_path").alias("path")).agg(
+        # The first column is read as well: a scan of the marks alone is refused.
+        F.count_if(F.col(_AS_READ).isNotNull() & (fields > n_columns)).alias("n"), F.count(names[0])
+    )
+    bad = {_plain(row.path): row.n for row in counted.where("n > 0").collect()}
+    return {file: bad[_plain(file)] for file in files if _plain(file) in bad}
 
 
 def read_csv_files(spark: SparkSession, files: list[str], multi_line: bool = False) -> DataFrame:
@@ -141,7 +171,8 @@ def read_csv_files(spark: SparkSession, files: list[str], multi_line: bool = Fal
 def scan_files(spark: SparkSession, files: list[str], multi_line: bool = False) -> FolderScan:
     """Group files by shape and header and read each group; a bad file is reported, not fatal.
 
-    The number of plans is the number of distinct headers, not of files.
+    A file with a row that has more fields than its header is rejected as a whole, which takes a pass over the
+    files. The number of plans is the number of distinct headers, not of files.
     """
     scan = FolderScan()
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
@@ -160,7 +191,12 @@ def scan_files(spark: SparkSession, files: list[str], multi_line: bool = False)
             scan.rejected[file] = "no location columns"
         else:
             groups[shape, tuple(header)].append(file)
-    for (shape, _), members in sorted(groups.items()):
+    for (shape, header), members in sorted(groups.items()):
+        for file, rows in count_malformed(spark, members, len(header), multi_line).items():
+            scan.rejected[file] = f"rows with more fields than the header: {rows}"
+            members.remove(file)
+        if not members:
+            continue
         df = read_csv_files(spark, members, multi_line)
         known = scan.frames.get(shape)
         scan.frames[shape] = df if known is None else known.unionByName(df, allowMissingColumns=True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,36 +72,48 @@ def read_csv_tables(spark: SparkSession, folder: str, multi_line: bool = False)
     return _checked(frames)
 
 
+def cuts_query(table: str, key: str, partitions: int) -> str:
+    """SQL for the smallest ``key`` of each of ``partitions`` equal shares of a table's rows, in order.
+
+    It runs in the database, which sends one number per share. A key that fills several shares is one cut.
+    """
+    return (
+        f"SELECT DISTINCT low FROM (SELECT MIN({key}) AS low FROM (SELECT {key}, NTILE({int(partitions)}) OVER "
+        f"(ORDER BY {key}) AS share_no FROM {table} WHERE {key} IS NOT NULL) shares GROUP BY share_no) cuts"
+    )
+
+
+def range_predicates(key: str, cuts: Iterable[int]) -> list[str]:
+    """Conditions that deal the rows of a table into ranges of ``key``: every row meets exactly one.
+
+    Below the second cut, between neighbouring cuts, and from the last one on; rows without a key are in the first.
+    """
+    cuts = sorted({int(c) for c in cuts if c is not None})
+    if len(cuts) < 2:
+        return ["1 = 1"]
+    inner = [f"{key} >= {low} AND {key} < {high}" for low, high in zip(cuts[1:], cuts[2:])]
+    return [f"{key} < {cuts[1]} OR {key} IS NULL", *inner, f"{key} >= {cuts[-1]}"]
+
+
 def read_database_tables(
     spark: SparkSession,
     url: str,
     properties: dict[str, str],
-    bounds: dict[str, tuple[int, int]],
     schema: str = "CDM",
     partitions: int = 64,
 ) -> CdmTables:
-    """The four tables over JDBC, each read in ``partitions`` parallel id ranges.
+    """The four tables over JDBC, each read in up to ``partitions`` parallel id ranges of about equal rows.
 
-    ``bounds`` gives the smallest and largest id per table (rows outside are still read, by the
-    first and last range). User and password go in ``properties``, never in the URL, so that no
-    log or plan shows them. Date and column filters applied later are pushed to the database.
+    The ranges come from the database's own shares of the key, so gaps and dense stretches of ids make no
+    task larger. User and password go in ``properties``, never in the URL, so that no log or plan shows them.
+    Date and column filters applied later are pushed to the database.
     """
-    missing = [name for name in CDM_TABLES if name not in bounds]
-    if missing:
-        raise ValueError(f"bounds are missing for: {missing}")
     if "password" in url.lower():
         raise ValueError("pass the password in properties, not in the URL")
-    return _checked(
-        {
-            name: spark.read.jdbc(
-                url,
-                f"{schema}.{name.upper()}",
-                column=key,
-                lowerBound=bounds[name][0],
-                upperBound=bounds[name][1],
-                numPartitions=partitions,
-                properties=properties,
-            )
-            for name, (_, key) in CDM_TABLES.items()
-        }
-    )
+    frames = {}
+    for name, (_, key) in CDM_TABLES.items():
+        table = f"{schema}.{name.upper()}"
+        cuts = spark.read.jdbc(url, f"({cuts_query(table, key, partitions)}) cut_list", properties=properties)
+        predicates = range_predicates(key, [row[0] for row in cuts.collect()])
+        frames[name] = spark.read.jdbc(url, table, predicates=predicates, properties=properties)
+    return _checked(frames)
