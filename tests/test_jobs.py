@@ -155,3 +155,23 @@ def test_parts_on_both_sides_of_the_antimeridian(spark):
     rows = spark.createDataFrame([(1, 51.5, 178.5), (2, 51.5, -179.0), (3, 51.5, 0.0)], "id int, latitude double, longitude double")
     got = {r.id: r.FIPS_2020 for r in tracts.assign_codes(rows, index).collect()}
     assert got == {1: "02016000100", 2: "02016000100", 3: None}
+
+
+def test_runs_add_to_one_location_table(spark, tmp_path, polygons, points):
+    out = tmp_path / "out"
+    header = ",".join(LOCATION_COLUMNS)
+    line = lambda i, lat: f"{i},{i} Main St,,Town,FL,33127,,,,USA,{lat},-81.5"
+    table = lambda: [(r.location_id, float(r.latitude)) for r in spark.read.csv(str(out / "LOCATION"), header=True).collect()]
+
+    def run(name, *rows):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "LOCATION.csv").write_text("\n".join([header, *rows]) + "\n")
+        for _ in range(2):
+            jobs.run_folder(spark, str(folder), str(out), points, polygons, progress=str(tmp_path / f"progress-{name}"))
+
+    run("first", line(10, 30.5), line(9, 30.6))
+    assert table() == [("9", 30.6), ("10", 30.5)]
+    # Another folder with a checkpoint of its own has the same batch numbers.
+    run("second", line(2, 30.7), line(10, 30.5), line(10, 31.0))
+    assert table() == [("2", 30.7), ("9", 30.6), ("10", 30.5), ("10", 31.0)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,13 +95,14 @@ def run_folder(
     else:
         store = LocationStore(spark, f"{output}/location_table")
         before = store.version()
-        # A batch that failed half-way comes again with the same number and replaces what it wrote.
+        # A batch that failed half-way comes again with the same number and replaces what it wrote. To the
+        # LOCATION table it is a new delivery, whose rows are held already; numbers begin anew with a checkpoint.
         run_new_files(
             spark,
             folder,
             progress,
             lambda scan, batch: write(
-                scan, f"{output}/batch_id={batch}", mode="overwrite", store=store, delivery=f"batch-{batch}"
+                scan, f"{output}/batch_id={batch}", mode="overwrite", store=store, delivery=f"batch-{batch}-{uuid.uuid4().hex}"
             ),
         )
         table = store.read()
