@@ -181,6 +181,16 @@ def test_id_ranges_hold_every_row_once(spark, ids):
     assert max(counts) <= 2 * (len(known) / 8 + 1) + most + ids.count(None)
 
 
+def test_id_cuts_are_those_of_equal_shares_without_a_sort_of_the_table(spark):
+    ids = [i * i * i - 10**6 for i in range(-300, 300)] + [5] * 100 + [-(2**63), 2**63 - 1, None]
+    df = spark.createDataFrame([(i,) for i in ids], "k bigint")
+    found = spark.sql(tables.cuts_query("{df}", "k", 16), df=df)
+    known = sorted(i for i in ids if i is not None)
+    more, size = len(known) % 16, len(known) // 16
+    assert sorted(r.low for r in found.collect()) == sorted({known[i * size + min(i, more)] for i in range(16)})
+    assert "ntile" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_scratch_and_broadcast_limits(spark):
     assert scratch_folder(spark, "a").startswith(spark.conf.get("spark.checkpoint.dir"))
 
