@@ -129,6 +129,29 @@ def test_rows_that_match_nothing_are_spread(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_rows_without_a_point_or_an_address_are_spread(spark, polygons, points):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        index = tracts.build_tract_index(polygons, broadcast_bytes=0)
+        # Read from a table: the optimizer knows of literals that they are null.
+        none = F.when(F.col("id") < 0, F.lit(1.0))
+        rows = spark.range(400).select("id", none.alias("latitude"), none.alias("longitude"), F.lit(2020).alias("year_for_fips"))
+        places = rows.select("id", none.cast("string").alias("FIPS"), F.lit(2012).alias("year"))
+        values = spark.createDataFrame([(1, "12031000101", 2012, 2.0)], "variable_id int, geocode string, year int, value double")
+        found = [
+            tracts.assign_tracts(rows, index),
+            tracts.assign_codes(rows, index),
+            exposure.join_by_geocode(places, values, {1: "v"}, broadcast_bytes=0),
+            exposure.join_by_geocode(places, values, {1: "v"}, year_rule="latest", broadcast_bytes=0),
+        ]
+        for df in found:
+            assert df.count() == 400 and full_partitions(df) > 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_long_lists_of_variables_are_joined(spark):
     values = spark.range(2000).select(F.col("id").alias("variable_id"), F.lit("x").alias("geocode"))
     got = exposure.select_variables(values, variable_ids=range(500, 1100))

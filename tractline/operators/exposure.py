@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from tractline.functions.values import in_range, number_in
 from tractline.operators.tracts import TractIndex, assign_tracts, with_fips
-from tractline.session import BROADCAST_BYTES, broadcast_within, spread_unless
+from tractline.session import BROADCAST_BYTES, broadcast_within, no_spread, spread_unless
 
 LEVELS = ("tract", "county", "state", "zcta")
 _LISTED = 200
@@ -70,7 +70,7 @@ def roll_up(
             raise ValueError("zcta needs a crosswalk")
         rank = F.struct(-F.col("weight"), F.col("zcta"))
         main = crosswalk.groupBy(F.col("FIPS").alias("_fips")).agg(F.min_by("zcta", rank).alias(geocode))
-        main = broadcast_within(main.where("_fips is not null").withColumn("_one", F.lit(0)), broadcast_bytes)
+        main = broadcast_within(main.where("_fips is not null").withColumn("_one", no_spread("_fips")), broadcast_bytes)
         rows = df.withColumn("_spread", spread_unless(F.col(fips).isNotNull(), df))
         same = (F.col(fips) == F.col("_fips")) & (F.col("_spread") == F.col("_one"))
         return rows.join(main, same, "left").drop("_fips", "_spread", "_one")
@@ -138,14 +138,14 @@ def join_by_geocode(
     spread = rows.withColumn("_spread", spread_unless(F.col(geocode).isNotNull() & key.isNotNull(), rows))
     same = (F.col(geocode) == F.col("_geocode")) & (F.col("_spread") == F.col("_one"))
     if latest:
-        held = value_histories(values, variables).withColumnRenamed("geocode", "_geocode").withColumn("_one", F.lit(0))
+        held = value_histories(values, variables).withColumnRenamed("geocode", "_geocode").withColumn("_one", no_spread("_geocode"))
         nested = F.size("_history") * (_ELEMENT_BYTES * (2 + len(variables)))
         joined = spread.join(broadcast_within(held, broadcast_bytes, nested), same, "left")
         asked = F.least(key, F.lit(last_year)) if last_year is not None else key
         return joined.withColumn("_found", F.when(key.isNotNull(), _as_of(F.col("_history"), asked))).select(
             *rows.columns, *[F.col("_found")[name].alias(name) for name in variables.values()]
         )
-    wide = wide_values(values, variables).withColumnsRenamed({"geocode": "_geocode", "year": "_year"}).withColumn("_one", F.lit(0))
+    wide = wide_values(values, variables).withColumnsRenamed({"geocode": "_geocode", "year": "_year"}).withColumn("_one", no_spread("_geocode", "_year"))
     joined = spread.join(broadcast_within(wide, broadcast_bytes), same & (key == F.col("_year")), "left")
     return joined.drop("_geocode", "_year", "_spread", "_one")
 
