@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
-from bindings.domain import TABLES
+from bindings.domain import TABLES, Domain
 from bindings.queries import ORACLES, QUERIES
 from check import rows_of
 
@@ -37,3 +37,15 @@ def test_query(spark, db, name):
     columns = [c[0] for c in cursor.description]
     assert sorted(df.columns) == sorted(columns)
     assert got == rows_of(columns, cursor.fetchall())
+
+
+def test_address_points_east_of_greenwich(spark, tmp_path):
+    """From 39,602 tracts on the derived grid reaches over Greenwich; longitudes there have no minus sign."""
+    home = ["id AS c_custkey", "'BUILDING' AS c_mktsegment", "3 AS c_nationkey"]
+    spark.range(1, 3000).selectExpr(*home).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(40401).selectExpr("id AS s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    spread = 201 * 5000 + 2500
+    got = {r.point_id: r.longitude for r in Domain(spark, str(tmp_path))["address_points"].collect()}
+    want = {k: (k * 5303 % spread - 10**6) / 10**4 for k in range(1, 3000)}
+    assert {k: got[k] for k in want} == want and {k: got[-k] for k in want if k % 3 == 0} == {k: want[k] for k in want if k % 3 == 0}
+    assert any(v > 0 for v in want.values())
