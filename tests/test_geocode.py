@@ -9,6 +9,7 @@ from tractline.operators import near_streets
 from tractline.operators.geocode import _point_keys, gazetteer, geocode, places_at_end, query_keys
 from tractline.plans import linkage
 from tractline.schemas import ADDRESS_POINTS, LOCATION_COLUMNS, TRACTS
+from tractline.session import stored
 
 POINTS = [
     (1, "1250 W 16th St", "Jacksonville", "FL", "32209", 30.35, -81.67),
@@ -386,3 +387,15 @@ def test_scored_pairs_stay_near_the_matches(spark, monkeypatch):
     found = {r.id: r.score for r in got.collect()}
     assert all(found[i] == 1.0 for i in range(0, 1000, 2)) and all(found[i] is not None for i in range(1000))
     assert sum(counts) < 100 * len(asked), counts
+
+
+def test_blocks_and_segments_are_not_sent_around_by_a_guess(spark, points):
+    rows = spark.createDataFrame([(1, "240 NW 25th St", "Miami", "FL", "33127")], "id int, street string, city string, state string, zip string")
+    plan = geocode(stored(rows, "rows"), stored(points, "points"))._jdf.queryExecution().executedPlan().toString()
+    blocks = [line for line in plan.splitlines() if "Join" in line and "_numbers" in line]
+    assert blocks and all("SortMergeJoin" in line for line in blocks)
+    near = "_k0 string, _region string, _numbers string, _asked string"
+    asked = stored(spark.createDataFrame([("240 NW 25TH ST", "z:33127", "240 25", "240 nw 25th st")], near), "asked")
+    known = spark.createDataFrame([("z:33127", "240 25", "240 nw 25th st", "", "240 nw 25th st")], "_region string, _numbers string, _p_street string, _p_tail string, _whole string")
+    pairs = near_streets.pairs_within(asked, stored(known, "known"), 0.7)
+    assert pairs.count() == 1 and "BroadcastHashJoin" not in pairs._jdf.queryExecution().executedPlan().toString()

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tractline.operators import tracts as T
 from tractline.schemas import TRACTS, ContractError
+from tractline.session import stored
 
 POINT = "id bigint, latitude double, longitude double, year_for_fips int"
 
@@ -207,3 +208,16 @@ def test_morton_codes_interleave_bits(spark):
     df = spark.createDataFrame(pairs, "x bigint, y bigint").select("x", "y", T._interleaved(F.col("x"), F.col("y")).alias("m"))
     for r in df.collect():
         assert r.m == sum((r.x >> i & 1) << 2 * i | (r.y >> i & 1) << 2 * i + 1 for i in range(26))
+
+
+def cell_joins(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Join" in line and "_cx" in line]
+
+
+def test_cells_over_the_limit_are_not_sent_around_with_codes(spark):
+    """Spark sees the size of the polygons' files, of which cells are many times the rows."""
+    polygons = spark.createDataFrame([("1001020100", "x", v, edges([(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)])) for v in (2010, 2020)], TRACTS)
+    index = T.build_tract_index(stored(polygons, "polygons"), broadcast_bytes=0)
+    (join,) = cell_joins(T.assign_codes(spark.createDataFrame([(1, 0.2, 0.5, 2010)], POINT), index))
+    assert "SortMergeJoin" in join

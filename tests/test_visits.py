@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tractline.operators import locations, summaries, visits
 from tractline.schemas import LOCATION_COLUMNS, ContractError
+from tractline.session import stored
 
 LOCATION = ", ".join(f"{c} {'bigint' if c == 'location_id' else 'string'}" for c in LOCATION_COLUMNS)
 HISTORY = (
@@ -183,3 +184,10 @@ def test_link_visits_uses_only_usable_places(spark):
     assert got[3, 2013] == ("Invalid", None, imprecise, "Street missing", None)
     assert got[4, 2021] == ("Unclassified", None, imprecise, "", None)
     assert linked(None)[1, 2013] == ("Address", None, imprecise, "", None)
+
+
+def test_no_side_is_sent_around_by_a_guess(small):
+    """Persons, stays and visits can be far larger than their files; here all are small enough for Spark to send."""
+    tables = {k: stored(v, "small") for k, v in small.items()}
+    plan = visits.visits_in_residence(**tables)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 3
