@@ -221,3 +221,11 @@ def test_cells_over_the_limit_are_not_sent_around_with_codes(spark):
     index = T.build_tract_index(stored(polygons, "polygons"), broadcast_bytes=0)
     (join,) = cell_joins(T.assign_codes(spark.createDataFrame([(1, 0.2, 0.5, 2010)], POINT), index))
     assert "SortMergeJoin" in join
+
+
+def test_cells_over_the_limit_are_not_sent_around(spark):
+    polygons = spark.createDataFrame([("1001020100", "x", 2010, edges([(0.0, 0.0), (1.0, 0.0), (1.0, 1.0)]))], TRACTS)
+    index = T.build_tract_index(stored(polygons, "polygons"), broadcast_bytes=0)
+    df = T.assign_tracts(spark.createDataFrame([(1, 0.2, 0.5, 2010)], POINT), index)
+    (join,) = cell_joins(df)
+    assert "SortMergeJoin" in join and df.first().tract_id == "1001020100"
