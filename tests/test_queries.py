@@ -49,3 +49,15 @@ def test_address_points_east_of_greenwich(spark, tmp_path):
     want = {k: (k * 5303 % spread - 10**6) / 10**4 for k in range(1, 3000)}
     assert {k: got[k] for k in want} == want and {k: got[-k] for k in want if k % 3 == 0} == {k: want[k] for k in want if k % 3 == 0}
     assert any(v > 0 for v in want.values())
+
+
+def test_homes_are_not_sent_around_for_address_rows(spark, tmp_path):
+    """Customers' files are a small part of what their streets, cities and places take in memory."""
+    columns = ["id AS c_custkey", "'BUILDING' AS c_mktsegment", "3 AS c_nationkey"]
+    spark.range(20).selectExpr(*columns).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(9).selectExpr("id AS s_suppkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(70).selectExpr("id AS o_orderkey", "id % 25 AS o_custkey").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = Domain(spark, str(tmp_path))["address_multi"]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert rows.count() == sum(i % 25 < 20 for i in range(70))
